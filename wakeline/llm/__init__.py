@@ -1,0 +1 @@
+"""Part of the wakeline package."""
