@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .bpe import bpe_round_trip
 from .common import table
 from .embedding_dedup import embedding_dedup
+from .jaccard_join import jaccard_join
+from .line_dedup import line_dedup
 from .substring_dedup import substring_dedup
 from .topk_search import topk_search
 
@@ -18,6 +20,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.col("lines_in").alias("n_lines"), F.col("lines_removed").alias("n_removed"), "text")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -39,11 +46,17 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_bpe": op4_bpe,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op8_topk": op8_topk,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 SQL: dict[str, str] = {}
