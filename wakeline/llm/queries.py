@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
@@ -12,6 +12,7 @@ from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
 from .substring_dedup import substring_dedup
 from .topk_search import topk_search
+from .toxicity import toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -25,6 +26,16 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.col("lines_in").alias("n_lines"), F.col("lines_removed").alias("n_removed"), "text")
 
 
+def held_out(doc_id) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out(F.col("doc_id")))
+    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), labelled)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -52,6 +63,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_toxicity": op2_toxicity,
     "op4_bpe": op4_bpe,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op8_topk": op8_topk,
