@@ -10,6 +10,7 @@ from .common import table
 from .embedding_dedup import embedding_dedup
 from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
+from .mixing import mix_sources
 from .substring_dedup import substring_dedup
 from .topk_search import topk_search
 from .toxicity import toxicity
@@ -36,6 +37,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    done = mix_sources(docs, repeats=1.5)
+    return done.select("doc_id", "source", *[F.col(f"mix_{x}").alias(x) for x in ("tokens", "block", "weight", "passes", "copies")])
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -64,6 +71,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op8_topk": op8_topk,
