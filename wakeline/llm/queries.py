@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_round_trip
 from .common import table
 from .embedding_dedup import embedding_dedup
+from .html_extract import html_extract
 from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
 from .mixing import mix_sources
@@ -53,6 +54,11 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = html_extract(table(spark, sf_dir, "pages"))
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "slot")
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.expr("transform(embedding, x -> floor(64 * double(x)))").cast("array<double>").alias("v"))
     found = topk_search(rows, F.col("vec_id") % 20 == 0, k=20)
@@ -74,6 +80,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_html_extract": op6_html_extract,
     "op8_topk": op8_topk,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
