@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .common import durable, grouped
 
 #: Segments a vector is cut in, coarse to fine.
-LEVELS = (4, 16)
+LEVELS = (4, 16, 32)
+MOST_TASKS = 50_000
 
 
 def statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -33,14 +34,8 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([mean, dev], axis=1) * np.sqrt(np.concatenate([size, size]))
 
 
-def _bound(q2, c2, sq, sc):
-    """Upper bounds of inner products from lower bounds of squared distances, for aligned rows."""
-    lower = ((sq - sc) ** 2).sum(-1)
-    return (q2 + c2 - lower) / 2
-
-
-def _best(k: int, n: int, who, score, ids):
-    """The k best (score, then smaller id) of each of n queries."""
+def _best(k: int, who, score, ids):
+    """The k best (score, then smaller id) of each query."""
     order = np.lexsort((ids, -score, who))
     who, score, ids = who[order], score[order], ids[order]
     rank = np.arange(len(who)) - np.searchsorted(who, who)
@@ -49,44 +44,43 @@ def _best(k: int, n: int, who, score, ids):
 
 
 def search_block(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int):
-    """Exact top k of the candidates for each query: indices of queries, scores, candidates' ids."""
+    """Exact top k of the candidates for each query: indices of queries, scores, candidates' ids.
+
+    The lower bound of a squared distance, |q|^2 + |c|^2 - 2 * <statistics>, is compared with the distance that a
+    score at the query's limit has; both lengths cancel, so what is compared is <statistics> with the limit."""
     stats = [(statistics(q, s), statistics(c, s)) for s in LEVELS]
-    q2, c2 = (q * q).sum(1), (c * c).sum(1)
-    slack = 1e-9 * (1 + np.sqrt(q2.max(initial=0) * c2.max(initial=0)))
-    n = len(q)
-    who, score, ids = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-    limit = np.full(n, -np.inf)
-    for at in range(0, len(c), 1024):
-        end = min(at + 1024, len(c))
-        sq, sc = stats[0]
-        upper = sq @ sc[at:end].T  # equals the bound from the distance: q2 = |sq|^2, c2 = |sc|^2
-        if at == 0 and end > k:  # the most promising by the coarse bound set the first limits
-            top = np.argpartition(-upper, min(2 * k, end - 1), axis=1)[:, : 2 * k]
-            first = np.einsum("ijd,id->ij", c[top], q)
-            first[c_ids[top] == q_ids[:, None]] = -np.inf
-            if first.shape[1] >= k:
-                limit = np.partition(first, -k, axis=1)[:, -k]
-        i, j = np.nonzero(upper >= limit[:, None] - slack)
-        j += at
+    slack = 1e-9 * (1 + np.sqrt((q * q).sum(1).max(initial=0) * (c * c).sum(1).max(initial=0)))
+    who, score, ids = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+    m = min(4 * k, len(c))
+    for at in range(0, len(q), 256):
+        part = slice(at, at + 256)
+        upper = stats[0][0][part] @ stats[0][1].T
+        top = np.argpartition(-upper, m - 1, axis=1)[:, :m]  # the most promising set the limits
+        first = np.empty(top.shape)
+        for i in range(len(top)):
+            first[i] = c[top[i]] @ q[at + i]
+        first[c_ids[top] == q_ids[part, None]] = -np.inf
+        limit = np.partition(first, -k, axis=1)[:, -k] - slack if m >= k else np.full(len(top), -np.inf)
+        open_ = upper >= limit[:, None]
         for sq, sc in stats[1:]:
-            keep = [np.zeros(0, bool)]
-            for m in range(0, len(i), 1 << 17):
-                a, b = i[m : m + (1 << 17)], j[m : m + (1 << 17)]
-                keep.append(_bound(q2[a], c2[b], sq[a], sc[b]) >= limit[a] - slack)
-            keep = np.concatenate(keep)
-            i, j = i[keep], j[keep]
-        keep = q_ids[i] != c_ids[j]
-        i, j = i[keep], j[keep]
-        exact = [np.zeros(0)]
-        for m in range(0, len(i), 1 << 16):
-            exact.append(np.einsum("ij,ij->i", q[i[m : m + (1 << 16)]], c[j[m : m + (1 << 16)]]))
-        exact = np.concatenate(exact)
-        keep = exact >= limit[i]
-        who, score, ids = _best(k, n, np.concatenate([who, i[keep]]), np.concatenate([score, exact[keep]]), np.concatenate([ids, c_ids[j[keep]]]))
-        full = np.bincount(who, minlength=n) >= k
-        last = np.searchsorted(who, np.arange(n), side="right") - 1
-        limit[full] = np.maximum(limit[full], score[last[full]])
-    return who, score, ids
+            columns = np.flatnonzero(open_.any(0))
+            if 20 * np.count_nonzero(open_) < open_.size:
+                break
+            open_[:, columns] &= sq[part] @ sc[columns].T >= limit[:, None]
+        if 20 * np.count_nonzero(open_) >= open_.size:  # many survivors: their distances in one product
+            columns = np.flatnonzero(open_.any(0))
+            exact = q[part] @ c[columns].T
+            i, j = np.nonzero(open_[:, columns] & (exact >= limit[:, None]))
+            exact, j = exact[i, j], columns[j]
+        else:
+            i, j = np.nonzero(open_)
+            pieces = [np.einsum("ij,ij->i", q[at + i[a : a + 65536]], c[j[a : a + 65536]]) for a in range(0, len(i), 65536)]
+            exact = np.concatenate([np.zeros(0), *pieces])
+        keep = (exact >= limit[i]) & (q_ids[at + i] != c_ids[j])
+        who.append(i[keep] + at)
+        score.append(exact[keep])
+        ids.append(c_ids[j[keep]])
+    return _best(k, np.concatenate(who), np.concatenate(score), np.concatenate(ids))
 
 
 def _search(key, rows: pa.Table, k: int) -> pa.Table:
@@ -94,7 +88,8 @@ def _search(key, rows: pa.Table, k: int) -> pa.Table:
     x = rows.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), d)
     ids, query = rows.column("vec_id").to_numpy(), rows.column("query").to_numpy(zero_copy_only=False).astype(bool)
     q_ids = ids[query]
-    who, score, found = search_block(x[query], q_ids, x[~query], ids[~query], k)
+    none = np.zeros(0, np.int64)
+    who, score, found = search_block(x[query], q_ids, x[~query], ids[~query], k) if query.any() and not query.all() else (none, none, none)
     return pa.table({"query_id": pa.array(q_ids[who], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.float64())})
 
 
@@ -114,7 +109,9 @@ def topk_search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id
     hashed = F.xxhash64("vec_id")
     candidates = dealt.select("d", F.explode(F.sequence(F.lit(0), F.col("n_q") - 1)).alias("qb"), F.pmod(hashed, "n_c").cast("int").alias("cb"), "vec_id", "v", F.lit(False).alias("query"))
     queries = dealt.filter("asked").select("d", F.pmod(hashed, "n_q").cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("n_c") - 1)).alias("cb"), "vec_id", "v", F.lit(True).alias("query"))
-    found = candidates.unionAll(queries).groupBy("d", "qb", "cb").applyInArrow(grouped(_search, k=k), "query_id long, vec_id long, score double")
+    tasks = counts.agg(F.sum(F.col("n_c").cast("long") * F.col("n_q"))).first()[0] or 1
+    both = candidates.unionAll(queries).repartition(min(2 * tasks, MOST_TASKS), "d", "qb", "cb")  # work is not in proportion to bytes
+    found = both.groupBy("d", "qb", "cb").applyInArrow(grouped(_search, k=k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
