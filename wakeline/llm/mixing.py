@@ -24,7 +24,7 @@ ROUNDS, LEVELS = 5, 6
 BLOCK_TOKENS = 20_000
 
 
-def exponent(sources: DataFrame, repeats: float, entropy: float | None = None) -> float:
+def exponent(sources: DataFrame, repeats: float, entropy: float | None = None, cover: bool = False) -> float:
     """alpha, to 2**-(ROUNDS * LEVELS): sources has tokens (long, above 0) for each source."""
     step, low = 1.0, 0.0
     total = sources.agg(F.sum("tokens")).first()[0]
@@ -37,8 +37,8 @@ def exponent(sources: DataFrame, repeats: float, entropy: float | None = None) -
         share = F.col("tokens") / F.lit(float(total))
         at = sources.select(share.alias("p"), F.explode(alphas).alias("alpha"))
         power = F.exp(F.col("alpha") * F.ln("p"))
-        sums = at.groupBy("alpha").agg(F.sum(power).alias("z"), F.max(power / F.col("p")).alias("m"), F.sum(power * F.col("alpha") * F.ln("p")).alias("e"))
-        good = F.col("m") / F.col("z") <= F.lit(float(repeats) + 1e-9)
+        sums = at.groupBy("alpha").agg(F.sum(power).alias("z"), F.max(power / F.col("p")).alias("m"), F.min(power / F.col("p")).alias("l"), F.sum(power * F.col("alpha") * F.ln("p")).alias("e"))
+        good = F.col("m") / (F.col("l") if cover else F.col("z")) <= F.lit(float(repeats) + 1e-9)
         if entropy is not None:
             good = good & (F.ln("z") - F.col("e") / F.col("z") <= F.lit(entropy + 1e-9))
         first = sums.filter(good).agg(F.min("alpha")).first()[0]
@@ -57,7 +57,7 @@ def count_tokens(text) -> Column:
     return F.coalesce(F.greatest(F.size(parts) - ends, F.lit(0)), F.lit(0)).cast("long")
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", repeats: float = 4.0, entropy: float | None = None, seed: str = "mix") -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", repeats: float = 4.0, entropy: float | None = None, seed: str = "mix", cover: bool = False) -> DataFrame:
     """The rows of docs with mix_source, mix_tokens, mix_block, mix_weight (of the source), mix_passes (whole passes over the source) and
     mix_copies (long): how often the document is in the mixture; 0: not at all.
 
@@ -65,7 +65,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tokens takes no budget and is in each whole pass. Rows alike in id and text count as one document for the order
     within a block but each spends its tokens; A null id comes last. All columns are kept (columns with these names
     are replaced); an empty table stays empty. All budgets together are all tokens of the input: what is taken from
-    frequent sources goes to rare ones. Texts are not shuffled: where the partial pass of each source ends, a block and a
+    frequent sources goes to rare ones. With cover they are so many more that each source is taken once at least, and
+    the limit on repeats holds for the one that is taken most. Texts are not shuffled: where the partial pass of each source ends, a block and a
     place in it, is all that the rows need.
     """
     kept = [c for c in docs.columns if c not in ADDED]
@@ -77,12 +78,17 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = durable(marked.select("mix_source", "mix_tokens", "__id"))
     sources = durable(rows.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens")))
     some = sources.filter("tokens > 0")
-    alpha = exponent(some, repeats, entropy)
+    alpha = exponent(some, repeats, entropy, cover)
     power = F.exp(F.lit(alpha) * F.ln(F.col("tokens")))
-    n_sources, total, z = some.agg(F.count("*"), F.sum("tokens"), F.sum(power)).first()
+    n_sources, total, z, rarest = some.agg(F.count("*"), F.sum("tokens"), F.sum(power), F.min(power / F.col("tokens"))).first()
+    total, z = total or 0, z or 1.0
+    if cover and rarest:
+        total = int(z / rarest)  # the source with the least weight for its tokens is taken once
     full = F.col("tokens") > 0
-    weights = sources.withColumn("mix_weight", F.when(full, F.round(power / F.lit(z or 1.0), 9)).otherwise(F.lit(0.0)))
-    weights = weights.withColumn("budget", F.floor(F.col("mix_weight") * F.lit(total or 0)).cast("long"))
+    weights = sources.withColumn("mix_weight", F.when(full, F.round(power / F.lit(z), 9)).otherwise(F.lit(0.0)))
+    weights = weights.withColumn("budget", F.floor(F.col("mix_weight") * F.lit(total)).cast("long"))
+    if cover:
+        weights = weights.withColumn("budget", F.greatest("budget", "tokens"))
     weights = weights.withColumn("mix_passes", F.when(full, F.expr("budget div greatest(tokens, 1)")).otherwise(F.lit(1)).cast("long"))
     weights = weights.withColumn("room", F.when(full, F.expr("budget - mix_passes * tokens")).otherwise(F.lit(0)).cast("long"))
     weights = weights.withColumn("blocks", F.ceil(F.greatest(F.col("tokens"), F.lit(1)) / BLOCK_TOKENS).cast("long")).drop("tokens", "budget")

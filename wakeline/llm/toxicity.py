@@ -251,20 +251,37 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
     examples 0. A row's own label has no vote in its score. Repeated rows are scored alike; an empty table gives an
     empty result; other columns are not read. No shuffle of texts: the bounded model goes to each task.
     """
-    model = fit(docs, labelled, id_col, text_col, label_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("own"), F.col(text_col).cast("string").alias("text"))
+    out = _scored(rows, fit(docs, labelled, id_col, text_col, label_col), [f"id {kind}"])
+    return out.withColumnRenamed("id", id_col)
+
+
+def reject_toxic(docs: DataFrame, labelled: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """The rows of docs, all columns, whose score is below threshold; what toxicity() says of odd rows holds here too."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    kinds = [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema)]
+    rows = docs.toDF(*names)
+    at = docs.columns.index
+    rows = rows.select(*names, F.col(names[at(id_col)]).cast("long").alias("own"), F.col(names[at(text_col)]).cast("string").alias("text"))
+    out = _scored(rows, fit(docs, labelled, id_col, text_col, label_col), kinds).filter(F.col("score") < threshold)
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+
+
+def _scored(rows: DataFrame, model: Model, kinds: list[str]) -> DataFrame:
+    """The first columns of rows (named and typed by kinds) with score and evidence; the last two are own id and text."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    width = len(kinds)
 
     def score(batches):
         m = shared.value
         if not hasattr(m, "index"):
             m.start()
         for batch, part in _texts(batches):
-            got = [m.score(x, own) for x, own in zip(part, batch.column(1).to_pylist())]
+            got = [m.score(x, own) for x, own in zip(part, batch.column(width).to_pylist())]
             proof = [[{"id": m.ids[i], "label": m.labels[i], "cosine": s} for s, i in near] for _, near in got]
             kind = pa.list_(pa.struct([("id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([min(1.0, max(0.0, s)) for s, _ in got], pa.float64()), pa.array(proof, kind)], ["id", "score", "evidence"])
+            scores = pa.array([min(1.0, max(0.0, s)) for s, _ in got], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], scores, pa.array(proof, kind)], [*batch.schema.names[:width], "score", "evidence"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("own"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(score, f"id {kind}, score double, evidence array<struct<id: bigint, label: int, cosine: double>>")
-    return out.withColumnRenamed("id", id_col)
+    return rows.mapInArrow(score, ", ".join([*kinds, "score double", "evidence array<struct<id: bigint, label: int, cosine: double>>"]))
