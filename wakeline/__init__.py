@@ -1 +1 @@
-"""Part of the wakeline package."""
+"""Vessel trajectories, stops and grid-cell covers on Spark."""
