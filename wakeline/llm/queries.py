@@ -12,6 +12,7 @@ from .html_extract import html_extract
 from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
 from .mixing import mix_sources
+from .secrets import PATTERNS, find_secrets
 from .substring_dedup import substring_dedup
 from .topk_search import topk_search
 from .toxicity import toxicity
@@ -59,6 +60,13 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "slot")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = find_secrets(table(spark, sf_dir, "documents"))
+    written = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
+    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as long)").alias(f"n_{k}") for k in PATTERNS]
+    return done.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.expr("transform(embedding, x -> floor(64 * double(x)))").cast("array<double>").alias("v"))
     found = topk_search(rows, F.col("vec_id") % 20 == 0, k=20)
@@ -81,6 +89,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_html_extract": op6_html_extract,
+    "op7_secrets": op7_secrets,
     "op8_topk": op8_topk,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
