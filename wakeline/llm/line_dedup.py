@@ -34,8 +34,8 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """Keys (h, g) of lines that have an earlier line at one edit's distance."""
     long = distinct.filter(F.col("n") >= MIN_WORDS)
     halves = long.select("h", F.explode(F.expr("array(xxhash64('P', n + 1, a), xxhash64('Q', n + 1, b), xxhash64('P', n, c), xxhash64('Q', n, d))")).alias("key"))
-    shared = halves.groupBy("key").count().filter("count > 1").select("key")
-    partners = durable(halves.join(shared, "key", "left_semi").select("h").distinct())
+    shared = durable(halves.groupBy("key").agg(F.count("*").alias("lines")).filter("lines > 1").select("key"))
+    partners = durable(halves.join(broadcast_if_small(shared, shared.count(), 16), "key", "left_semi").select("h").distinct())
     found = partners.count()
     some = long.join(broadcast_if_small(partners, found, 16), "h", "left_semi").select("h", "g", "did", "rid", "pos")
     texts = docs.join(broadcast_if_small(some, found, 64), (F.col("did") == F.col("__did")) & (F.col("rid") == F.col("__rid")))
