@@ -49,17 +49,13 @@ def tile_y(lat: Column, zoom: int) -> Column:
 
 
 def _spread(v: Column) -> Column:
-    """Bits of a number below 2**32 moved apart, one free bit after each."""
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-    return v
+    """Bits of a number moved apart, one free bit after each: its binary digits read as digits of base 4. The argument
+    occurs once, so that expressions made of this stay small enough for code generation."""
+    return F.conv(F.bin(v), 4, 10).cast("long")
 
 
 def _gather(v: Column) -> Column:
-    v = v.bitwiseAND(F.lit(0x5555555555555555))
-    for shift, mask in ((1, 0x3333333333333333), (2, 0x0F0F0F0F0F0F0F0F), (4, 0x00FF00FF00FF00FF), (8, 0x0000FFFF0000FFFF), (16, 0x00000000FFFFFFFF)):
-        v = v.bitwiseOR(F.shiftright(v, shift)).bitwiseAND(F.lit(mask))
-    return v
+    return F.conv(F.conv(v.bitwiseAND(F.lit(0x5555555555555555)).cast("string"), 10, 4), 2, 10).cast("long")
 
 
 def cell_id(x: Column, y: Column) -> Column:
