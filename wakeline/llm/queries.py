@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .bpe import bpe_round_trip
 from .common import table
 from .embedding_dedup import embedding_dedup
@@ -17,6 +18,9 @@ from .substring_dedup import substring_dedup
 from .topk_search import topk_search
 from .toxicity import toxicity
 
+#: A source is taken so many times at most.
+MIX_REPEATS = 1.5
+
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -41,7 +45,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    done = mix_sources(docs, repeats=1.5)
+    done = mix_sources(docs, repeats=MIX_REPEATS)
     return done.select("doc_id", "source", *[F.col(f"mix_{x}").alias(x) for x in ("tokens", "block", "weight", "passes", "copies")])
 
 
@@ -95,4 +99,12 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-SQL: dict[str, str] = {}
+#: The other queries (2, 4, 6, 7) have brute-force tests: SQL has no such model, tokenizer, parser or test battery.
+SQL = {
+    "op1_line_dedup": oracles.OP1,
+    "op3_mixing": oracles.op3(MIX_REPEATS),
+    "op5_embedding_dedup": oracles.OP5,
+    "op8_topk": oracles.OP8,
+    "op9_substring_dedup": oracles.OP9,
+    "op10_jaccard_join": oracles.OP10,
+}
