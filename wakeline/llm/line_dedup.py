@@ -24,9 +24,15 @@ _ONE_SUBSTITUTED = "size(filter(zip_with(a, b, (x, y) -> x = y), z -> not z)) <=
 _ONE_DELETED = "slice(a, p + 1, size(a)) = slice(b, p, size(b))"
 
 
+def _normal(line: str) -> str:
+    """SQL for a line with white space trimmed and runs of it as one space; most lines need no regular expression."""
+    odd = " or ".join(f"contains({line}, '{x}')" for x in ("  ", "\\t", "\\r", "\\u000C", "\\u000B"))
+    return f"trim(if({odd}, regexp_replace({line}, r'\\s+', ' '), {line}))"
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     cut = docs.select("__did", "__rid", F.posexplode(F.split("__text", "\n")).alias("pos", "line"))
-    norm = cut.withColumn("norm", F.trim(F.regexp_replace("line", r"\s+", " "))).drop("line").filter("norm <> ''")
+    norm = cut.withColumn("norm", F.expr(_normal("line"))).drop("line").filter("norm <> ''")
     return norm.withColumn("n", F.expr("length(norm) - length(replace(norm, ' ', '')) + 1"))
 
 
@@ -39,8 +45,8 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     found = partners.count()
     some = long.join(broadcast_if_small(partners, found, 16), "h", "left_semi").select("h", "g", "did", "rid", "pos")
     texts = docs.join(broadcast_if_small(some, found, 64), (F.col("did") == F.col("__did")) & (F.col("rid") == F.col("__rid")))
-    norm = F.trim(F.regexp_replace(F.expr("split(__text, '\n')[pos]"), r"\s+", " "))
-    lines = texts.select("h", "g", F.struct("did", "rid", "pos").alias("at"), F.split(norm, " ").alias("w"))
+    lines = texts.select("h", "g", F.struct("did", "rid", "pos").alias("at"), F.expr("split(__text, '\n')[pos]").alias("line"))
+    lines = lines.select("h", "g", "at", F.split(F.expr(_normal("line")), " ").alias("w"))
     lines = durable(lines.dropDuplicates(["h", "g"]).withColumn("bag", F.expr(_BAG.format(w="w"))).withColumn("placed", F.expr(_PLACED.format(w="w"))).withColumn("n", F.size("w")))
 
     variants = lines.select("h", "g", "at", "n", "bag", "placed", F.posexplode("w").alias("i", "x"))
@@ -90,6 +96,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = marked.join(gone, ["__did", "__rid"], "left").withColumn("__gone", F.coalesce("__gone", F.expr("array()").cast("array<int>")))
     out = out.withColumn("__lines", F.split("__text", "\n"))
     kept = F.expr("array_join(transform(array_sort(array_except(sequence(0, size(__lines) - 1), __gone)), i -> __lines[i]), '\n')")
-    count = F.coalesce(F.expr("cast(size(filter(__lines, x -> trim(regexp_replace(x, '\\\\s+', ' ')) <> '')) as long)"), F.lit(0).cast("long"))
+    count = F.coalesce(F.expr(f"cast(size(filter(__lines, x -> {_normal('x')} <> '')) as long)"), F.lit(0).cast("long"))
     out = out.withColumns({"lines_in": count, "lines_removed": F.size("__gone").cast("long"), text_col: F.when(F.size("__gone") > 0, kept).otherwise(F.col("__text"))})
     return out.select(*docs.columns, *[c for c in ("lines_in", "lines_removed") if c not in docs.columns])
