@@ -10,11 +10,11 @@ _TIME = lambda name, null=False: T.StructField(name, T.TimestampNTZType(), null)
 _DOUBLE = lambda name, null=False: T.StructField(name, T.DoubleType(), null)
 _TEXT = lambda name, null=False: T.StructField(name, T.StringType(), null)
 
-COORD = T.StructType([_DOUBLE("lon"), _DOUBLE("lat"), _DOUBLE("ts")])
-LONLAT = T.StructType([_DOUBLE("lon"), _DOUBLE("lat")])
-COORDS, RING = T.ArrayType(COORD, False), T.ArrayType(LONLAT, False)
-POLYGONS = T.ArrayType(T.ArrayType(RING, False), False)  # polygons of rings; further rings of a polygon are holes
-CELLS = T.ArrayType(T.LongType(), False)
+COORD = T.StructType([_DOUBLE("lon", True), _DOUBLE("lat", True), _DOUBLE("ts", True)])
+LONLAT = T.StructType([_DOUBLE("lon", True), _DOUBLE("lat", True)])
+COORDS, RING = T.ArrayType(COORD), T.ArrayType(LONLAT)
+POLYGONS = T.ArrayType(T.ArrayType(RING))  # polygons of rings; further rings of a polygon are holes
+CELLS = T.ArrayType(T.LongType())
 _ARRAYS = [T.StructField(f"cellstring_z{z}", CELLS, False) for z in (13, 17, 21)]
 
 RAW_AIS = T.StructType([_LONG("mmsi", True), _DOUBLE("lat", True), _DOUBLE("lon", True), _DOUBLE("sog", True), _TIME("timestamp", True), _TEXT("transponder_type", True)])
