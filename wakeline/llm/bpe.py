@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 _FOREVER = 1 << 30
 #: Unicode's White_Space; what the pattern of the tokenizer file calls \s.
@@ -28,6 +29,8 @@ _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 _FIELDS = regex.compile(f"[^{_SPACE}]+")
 _ODD = regex.compile("[\\x1c-\\x1f]")
 _KEPT_WORDS = 300_000
+#: Characters below this one are letters or not, and have lower case, alike in all editions of Unicode.
+_STABLE = "\u0250"
 
 
 def _byte_units() -> list[str]:
@@ -50,6 +53,9 @@ class Codec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         pattern = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.pieces = regex.compile(pattern.replace("\\s", _SPACE))
+        # Rare scripts: what is a letter there depends on the edition of Unicode, so the library's own tables are asked.
+        self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.rare = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "removed", invert=True), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.units = _byte_units()
         self.ids = {self._inner(k): v for k, v in vocab.items()}
         self.size = max([*vocab.values(), *self.special.values()]) + 1
@@ -61,7 +67,7 @@ class Codec:
             if z not in self.born:
                 self.born[z], self.split[z] = rank, (x, y)
             self.joined.setdefault((x, y), rank)
-        self.last = [chr(ord(x) + 0x1000) for x in self.units]
+        self.last = {x: chr(ord(x) + 0x1000) for x in self.units}
         #: Of each token its length in units, and the longest token that is a proper prefix of it (-1: none).
         self.sizes, self.shorter = [0] * self.size, [-1] * self.size
         self.matcher = ahocorasick.Automaton()
@@ -111,11 +117,13 @@ class Codec:
 
     def encode_piece(self, piece: str) -> list[int]:
         if piece.isascii() and piece.isprintable():
-            text = piece[:-1] + self.last[ord(piece[-1])]
-        else:
-            units = self.units
-            raw = piece.encode("utf-8", "surrogatepass")
-            text = "".join([units[x] for x in raw[:-1]]) + self.last[raw[-1]]
+            return self.encode_units(piece)
+        units = self.units
+        return self.encode_units("".join([units[x] for x in piece.encode("utf-8", "surrogatepass")]))
+
+    def encode_units(self, text: str) -> list[int]:
+        """Ids of a word of which each byte is one character."""
+        text = text[:-1] + self.last[text[-1]]
         n = len(text)
         longest = [0] * n
         for end, found in self.matcher.iter(text):
@@ -155,7 +163,12 @@ class Codec:
     def _field(self, field: str) -> bytes:
         """Ids of a text without white space, as bytes."""
         if not field.isascii():
-            field = unicodedata.normalize("NFC", field).replace("Σ", "σ")
+            if max(field) >= _STABLE:
+                rare = array("i")
+                for units, _ in self.rare.pre_tokenize_str(self.normal.normalize_str(field)):
+                    rare.extend(self.encode_units(units))
+                return rare.tobytes()
+            field = unicodedata.normalize("NFC", field)
         field = field.lower()
         if field.isalpha() and field.isascii():
             return array("i", self.encode_piece(field)).tobytes()
