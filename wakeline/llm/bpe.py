@@ -234,18 +234,26 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(batch.num_columns - 1)], lists], [*batch.schema.names[:-1], "ids"])
 
 
+def _decoded(batch: pa.RecordBatch, c: Codec) -> pa.RecordBatch:
+    """A batch whose last column has ids, with the texts that they decode to."""
+    lists = batch.column(batch.num_columns - 1)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+    texts = [c.decode(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], [*batch.schema.names, "decoded"])
+
+
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     c = codec(path)
     for batch in batches:
-        at, step = 0, 64
-        while at < len(batch):
-            part = batch.slice(at, step)
-            at += step
-            lists = part.column(part.num_columns - 1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-            texts = [c.decode(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(part.num_columns)], pa.array(texts, pa.binary()).cast(pa.string())], [*part.schema.names, "decoded"])
+        for at in range(0, len(batch), 64):
+            yield _decoded(batch.slice(at, 64), c)
+
+
+def _round_trip(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    c = codec(path)
+    for batch in _encode(batches, path):
+        yield _decoded(batch, c)
 
 
 def _with(df: DataFrame, name: str, kind: str) -> str:
@@ -267,5 +275,6 @@ def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame
 
 
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: its id, ids and decoded, as bpe_encode and bpe_decode give them."""
-    return bpe_decode(bpe_encode(docs, path, id_col, text_col), path)
+    """Per row: its id, ids and decoded, as bpe_encode and bpe_decode give them, in one pass."""
+    base = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
+    return base.mapInArrow(partial(_round_trip, path=path), _with(base.drop("__text"), "ids", "array<int>") + ", decoded string")
