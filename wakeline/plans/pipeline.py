@@ -27,11 +27,14 @@ def load_points(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
     if not files:
         return {"files": 0, "rows": 0}
     raw = ais.read(spark, files)
+    named = spark.createDataFrame([(f.name, f.path, f.day) for f in files], "file_name string, file_path string, file_date date")
+    entries = staged(ais.log_entries(raw, named, F.localtimestamp()))
+    first, last = entries.agg(F.to_date(F.min("min_ts")), F.to_date(F.max("max_ts"))).first()
+    known = store.read("points").filter(F.col("point_day").between(F.lit(first), F.lit(last)))  # prunes the days that cannot hold repeats
     points = ingest.clean_points(raw, config.thresholds.vessel_points, only_mmsi=config.only_mmsi)
-    fresh = staged(ingest.unseen_points(points, store.read("points")))
+    fresh = staged(ingest.unseen_points(points, known))
     store.append("points", fresh)
-    named = spark.createDataFrame([(f.name, f.path, f.day) for f in files], "file_name string, file_path string, file_date date")
-    store.replace("points_ingestion_log", ais.merge_log(store.read("points_ingestion_log"), ais.log_entries(raw, named, F.localtimestamp())))
+    store.replace("points_ingestion_log", ais.merge_log(store.read("points_ingestion_log"), entries))
     return {"files": len(files), "rows": fresh.count()}
 
 
