@@ -100,6 +100,19 @@ def test_whole_run_is_incremental(spark, tmp_path):
     assert not store.exists("points_ingestion_log")
 
 
+def test_rows_that_fail_a_check_are_not_stored(spark):
+    from wakeline.sources.store import Store
+
+    store = Store(spark, "checked", "checked")
+    store.create_namespaces()
+    store.create()
+    row = spark.createDataFrame([(1, 2, datetime(2024, 1, 2), datetime(2024, 1, 1), [])], "trajectory_id int, mmsi long, ts_start timestamp_ntz, ts_end timestamp_ntz, coords array<struct<lon:double,lat:double,ts:double>>")
+    with pytest.raises(Exception, match="does not meet"):
+        store.append("trajectory_ls", row)
+    assert store.read("trajectory_ls").count() == 0
+    store.drop(True, True)
+
+
 def test_numbers_are_dense_and_in_order(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     rows = number(df, "n", ["v"], after=10).orderBy("v").collect()
@@ -174,4 +187,10 @@ def test_settings():
     for bad in ({"AIS_DATA_PATH": "/data"}, env | {"DB_BACKEND": "other", "OTHER_SCHEMA": "x"}, env | {"AIS_END_DATE": "2023-01-01"}):
         with pytest.raises(ValueError):
             PipelineConfig.from_env(bad)
+    said = iter(["", "nonsense", "2024-01-01 to 2024-01-05"])
+    told = []
+    assert config.ask_step({}, "ETL_DROP", "Drop?", default=False, ask=lambda _: next(said)) is False
+    assert config.ask_step({"ETL_DROP": "y"}, "ETL_DROP_LS", "Drop?", "ETL_DROP", False) is True
+    assert config.ask_period("Period", available=both, ask=lambda _: next(said), tell=told.append) == both and len(told) == 2
+    assert config.ask_period("Period", *both, ask=lambda _: "") == both
     assert config.format_eta(3725.9) == "01:02:05"

@@ -55,6 +55,29 @@ def run_step(env: Mapping[str, str], name: str, fallback: str | None = None, def
     return default
 
 
+def ask_step(env: Mapping[str, str], name: str, question: str, fallback: str | None = None, default: bool = True, ask=input) -> bool:
+    """As run_step, but where no variable says anything, a person is asked."""
+    for key in (name, fallback):
+        if key and (said := parse_bool(env.get(key), key)) is not None:
+            return said
+    return answer(ask(f"{question} [{'Y/n' if default else 'y/N'}]: "), default)
+
+
+def ask_period(question: str, start: date | None = None, end: date | None = None, available: tuple[date, date] | None = None, ask=input, tell=print) -> tuple[date | None, date | None]:
+    """A period that a person types, the given one if nothing is typed; what cannot be read is asked for again."""
+    if available:
+        first, last = available
+        tell(f"Available: {first:%d/%m/%Y} - {last:%d/%m/%Y} ({(last - first).days + 1} days). 30 days at most are recommended for a run.")
+    while True:
+        text = ask(f"{question}: ").strip()
+        if not text:
+            return start, end
+        try:
+            return parse_date_range(text)
+        except ValueError as e:
+            tell(str(e))
+
+
 def parse_date(text: str) -> date:
     """YYYY-MM-DD, YYYY/MM/DD, DD-MM-YYYY or DD/MM/YYYY."""
     for mark in "-/":

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from wakeline.schemas import CS_TABLES, LS_TABLES
 
 PARTITIONS = {"points": "point_day"}
+#: What rows have to meet to be stored: table, column that stands for it, condition.
+CHECKS = {"trajectory_ls": ("ts_end", "ts_start < ts_end"), "stop_poly": ("ts_end", "ts_start < ts_end"), "trajectory_cs": ("ts_exit", "ts_entry <= ts_exit")}
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -68,9 +70,13 @@ class Store:
         return self.spark.table(self.name(table))
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows by column name; points are laid out by day."""
+        """Add rows by column name; points are laid out by day. A row that fails the table's check fails the job."""
         schema = (LS_TABLES | CS_TABLES)[table]
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        if table in CHECKS:
+            column, condition = CHECKS[table]
+            failed = F.raise_error(f"{self.name(table)}: a row does not meet {condition}").cast("timestamp_ntz")
+            out = out.withColumn(column, F.when(F.expr(condition), F.col(column)).otherwise(failed))
         if table == "points":
             out = out.withColumn("point_day", F.to_date("timestamp"))
         writer = out.write.mode("append").format("parquet")
