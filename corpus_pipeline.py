@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm.bpe import bpe_round_trip
-from wakeline.llm.common import broadcast_if_small, durable, table
+from wakeline.llm.common import broadcast_if_small, durable, table, tuned
 from wakeline.llm.jaccard_join import jaccard_join
 from wakeline.llm.line_dedup import line_dedup
 from wakeline.llm.mixing import mix_sources
@@ -34,6 +34,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that link by a Jaccard similarity of 0.8 or more on five words, the one with the smallest id stays."""
+    tuned(spark)
     gone = durable(jaccard_join(docs.select("doc_id", "text")).filter("not kept").select("doc_id").distinct())
     return docs.select(*COLUMNS).join(broadcast_if_small(gone, gone.count(), 16), "doc_id", "left_anti").select(*COLUMNS)
 
@@ -46,6 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document's whole text, and a digest of what they decode to."""
+    tuned(spark)
     done = bpe_round_trip(docs.select("doc_id", "text"), tokenizer_path())
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

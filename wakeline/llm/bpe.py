@@ -28,7 +28,7 @@ _FOREVER = 1 << 30
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _FIELDS = regex.compile(f"[^{_SPACE}]+")
 _ODD = regex.compile("[\\x1c-\\x1f]")
-_KEPT_WORDS = 300_000
+_KEPT_WORDS, _KEPT_PAIRS = 150_000, 150_000
 #: Characters below this one are letters or not, and have lower case, alike in all editions of Unicode.
 _STABLE = "\u0250"
 
@@ -110,7 +110,7 @@ class Codec:
                 rank = self.joined.get((x, y), _FOREVER)
                 if rank < x_until and rank <= y_until and rank < _FOREVER:
                     known = False
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) >= _KEPT_PAIRS:
             self.fits.clear()
         self.fits[left << 20 | right] = known
         return known

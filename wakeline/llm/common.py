@@ -15,8 +15,18 @@ from pyspark.sql import functions as F
 LAST_ID = (1 << 63) - 1
 
 
+#: Rows that go to Python at a time; Spark's 10,000 are tens of megabytes of text on either side of the pipe.
+ARROW_ROWS = 1000
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session, set for rows that hold whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -27,7 +27,7 @@ MAX_EXAMPLES, MAX_TERMS = 20_000, 4096
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO, LEAST_GAIN = 3, 0.02, 3.0, 24.0
 NEIGHBOURS, PRIOR_VOTES, BLOCK = 25, 0.5, 32
 _WORD = re.compile(r"\w+")
-_KEPT_WORDS = 300_000
+_KEPT_WORDS, _KEPT_SCORES = 150_000, 4000
 
 
 def word_terms(word: str) -> list[str]:
@@ -135,7 +135,7 @@ class Model:
         if got is None:
             raw, near = self.vote(self.vector(counts), own)
             got = float(np.interp(raw, *self.knots)), near[:3]
-            if len(self.kept) >= 20_000:
+            if len(self.kept) >= _KEPT_SCORES:
                 self.kept.clear()
             self.kept[key] = got
         return got
