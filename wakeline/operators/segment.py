@@ -40,16 +40,18 @@ class Track:
     ts: np.ndarray
 
     def __post_init__(self) -> None:
-        self.step = distance_m(self.lon[:-1], self.lat[:-1], self.lon[1:], self.lat[1:])
+        # Plain numbers: the fold looks at one point at a time.
+        self.x, self.y, self.t = self.lon.tolist(), self.lat.tolist(), self.ts.tolist()
+        self.step = distance_m(self.lon[:-1], self.lat[:-1], self.lon[1:], self.lat[1:]).tolist()
 
     def motion(self, i: int, j: int) -> tuple[float, float, float]:
         """Seconds, metres and knots from point i to point j."""
-        seconds = self.ts[j] - self.ts[i]
-        metres = self.step[i] if j == i + 1 else distance_m(self.lon[i], self.lat[i], self.lon[j], self.lat[j])
+        seconds = self.t[j] - self.t[i]
+        metres = self.step[i] if j == i + 1 else float(distance_m(self.x[i], self.y[i], self.x[j], self.y[j]))
         return seconds, metres, metres / seconds / KNOT_MPS if seconds > 0 else math.inf
 
     def at(self, i: int) -> tuple[float, float, float]:
-        return self.lon[i], self.lat[i], self.ts[i]
+        return self.x[i], self.y[i], self.t[i]
 
 
 class _Open:
@@ -72,15 +74,14 @@ class _Open:
 def fold(track: Track, limits: Thresholds = LIMITS) -> tuple[list[list[int]], list[list[int]], list[str]]:
     """Candidate trajectories and stops as lists of point numbers, and what each point was taken for."""
     moves, stays, labels = _Open(), _Open(), []
-    before = -1
-    for i in range(len(track.ts)):
-        sog = track.sog[i]
+    before, times = -1, track.t
+    for i, sog in enumerate(track.sog.tolist()):
         if before < 0:
             (stays if math.isnan(sog) or sog < limits.stop_sog_kn else moves).now.append(i)
             labels.append("init")
             before = i
             continue
-        if track.ts[i] == track.ts[before]:
+        if times[i] == times[before]:
             labels.append("dup")
             continue
         seconds, metres, knots = track.motion(before, i)
@@ -112,11 +113,11 @@ def merge_stops(track: Track, stops: list[list[int]], limits: Thresholds = LIMIT
     out: list[list[int]] = []
     east = north = 0.0
     for stop in stops:
-        e, n = sum(track.lon[i] for i in stop), sum(track.lat[i] for i in stop)
+        e, n = sum(track.x[i] for i in stop), sum(track.y[i] for i in stop)
         if out:
             last = out[-1]
             near = distance_m(east / len(last), north / len(last), e / len(stop), n / len(stop)) < limits.merge_distance_m
-            if near and track.ts[stop[0]] - track.ts[last[-1]] < limits.merge_gap_s:
+            if near and track.t[stop[0]] - track.t[last[-1]] < limits.merge_gap_s:
                 out[-1] = last + stop
                 east, north = east + e, north + n
                 continue
@@ -212,19 +213,27 @@ def _grouped(points: DataFrame, by_day: bool, schema: str, work) -> DataFrame:
     return _vessel_days(points, by_day).groupBy("mmsi", "point_day").applyInArrow(lambda key, rows: work(key[0].as_py(), _track(rows)), schema)
 
 
+def _lists(sizes: list[int], columns: list[np.ndarray], names: list[str], missing: np.ndarray) -> pa.Array:
+    """A list of structs for each size, null where missing."""
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names), mask=pa.array(missing))
+
+
 def objects(points: DataFrame, limits: Thresholds = LIMITS, by_day: bool = True) -> DataFrame:
     """Trajectories (kind 'traj', with coords) and stops (kind 'stop', with ring) of all vessels, in seconds since 1970."""
 
     def work(mmsi, track):
         moves, stops = segment(track, limits)
         made = [("traj", m) for m in moves] + [("stop", s) for s in stops]
-        coords = [[{"lon": a, "lat": b, "ts": c} for a, b, c in map(track.at, m)] if kind == "traj" else None for kind, m in made]
-        rings = [[{"lon": a, "lat": b} for a, b in stop_ring(track, m, limits)] if kind == "stop" else None for kind, m in made]
-        lonlat = [("lon", pa.float64()), ("lat", pa.float64())]
+        is_stop_row = np.array([k == "stop" for k, _ in made], bool)
+        at = np.array([i for m in moves for i in m], np.int64)
+        coords = _lists([0 if k == "stop" else len(m) for k, m in made], [track.lon[at], track.lat[at], track.ts[at]], ["lon", "lat", "ts"], is_stop_row)
+        rings = [stop_ring(track, m, limits) for m in stops]
+        corners = np.array([p for r in rings for p in r], float).reshape(-1, 2)
+        ring = _lists([0] * len(moves) + [len(r) for r in rings], [corners[:, 0], corners[:, 1]], ["lon", "lat"], ~is_stop_row)
         return pa.table({
             "mmsi": pa.array([mmsi] * len(made), pa.int64()), "kind": pa.array([k for k, _ in made], pa.string()), "seq": pa.array(range(len(made)), pa.int32()),
-            "ts_start": pa.array([int(track.ts[m[0]]) for _, m in made], pa.int64()), "ts_end": pa.array([int(track.ts[m[-1]]) for _, m in made], pa.int64()),
-            "coords": pa.array(coords, pa.list_(pa.struct([*lonlat, ("ts", pa.float64())]))), "ring": pa.array(rings, pa.list_(pa.struct(lonlat))),
+            "ts_start": pa.array([int(track.t[m[0]]) for _, m in made], pa.int64()), "ts_end": pa.array([int(track.t[m[-1]]) for _, m in made], pa.int64()), "coords": coords, "ring": ring,
         })
 
     return _grouped(points, by_day, OBJECTS, work)
