@@ -21,6 +21,7 @@ from .components import components
 from .embedding_dedup import roots
 
 TREES, DEPTH, RECALL = 24, 8, 0.999
+MOST_TASKS = 50_000
 _FOUND = "node long, n_links long, n_texts long, root long"
 
 
@@ -200,7 +201,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     packs = max(1, found // 256)
     dealt = dealt.withColumn("pack", F.expr(f"if(blocks = 1, pmod(xxhash64(cluster), {packs}), xxhash64(cluster, first, second))")).drop("other", "blocks")
     texts = base.select("rid", "text").join(broadcast_if_small(dealt, found, 96), "rid")
-    linked = texts.select("pack", "cluster", "first", "second", "block", "node", "copies", "text").groupBy("pack").applyInArrow(grouped(_verify, width=width, threshold=threshold), _FOUND)
+    tasks = min(MOST_TASKS, packs + members.sparkSession.sparkContext.defaultParallelism)
+    texts = texts.select("pack", "cluster", "first", "second", "block", "node", "copies", "text").repartition(tasks, "pack")  # work is not in proportion to bytes
+    linked = texts.groupBy("pack").applyInArrow(grouped(_verify, width=width, threshold=threshold), _FOUND)
     linked = durable(linked)
     counts = linked.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("n_texts").alias("n_texts"))
     parts = components(linked, "node", "root")
