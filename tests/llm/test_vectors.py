@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm import embedding_dedup as ed
 from wakeline.llm import topk_search as tk
+from wakeline.llm.queries import integer_vectors
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -99,6 +100,14 @@ def test_statistics_bound_products():
     assert last.shape == exact.shape
 
 
+def test_whole_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.999, -0.001, -1e-20, 1e30]), (2, [nan, 1.0]), (3, [-inf, inf]), (4, [None]), (5, None)]
+    got = {r.vec_id: r.v for r in integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert got[1] == [63.0, -1.0, -1.0, 64 * float(np.float32(1e30))]
+    assert got[2] == [None, 64.0] and got[3] == [None, None] and got[4] == [None] and got[5] is None
+
+
 def test_topk_on_odd_tables(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [2.0, 2.0]), (5, [1.0, 2.0, 3.0]), (None, [9.0, 9.0]), (6, [1.0, 2.0]), (6, [1.0, 2.0]), (7, [])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, v array<double>, query int")

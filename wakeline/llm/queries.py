@@ -71,9 +71,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
 
 
+def integer_vectors(vectors: DataFrame) -> DataFrame:
+    """vec_id and v: floor(64 * x) of each component, as a double; null for components that are not finite, for topk_search to leave out."""
+    whole = "if(abs(x) < 1e13, double(floor(64 * double(x))), 64 * double(x))"  # from there on all doubles are whole
+    return vectors.select("vec_id", F.expr(f"transform(embedding, x -> if(isnan(x) or abs(x) = double('infinity'), null, {whole}))").alias("v"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.expr("transform(embedding, x -> floor(64 * double(x)))").cast("array<double>").alias("v"))
-    found = topk_search(rows, F.col("vec_id") % 20 == 0, k=20)
+    found = topk_search(integer_vectors(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0, k=20)
     return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
 
 
