@@ -255,11 +255,11 @@ def test_pages_by_the_generator(spark, sf):
 
 
 def test_pages_on_odd_tables(spark):
-    rows = [(1, None, None), (None, "x", ""), (2, "http://h/1", "plain &amp; text"), (2, "http://h/1", "plain &amp; text"), (3, "", "<p>a<p>b</p"), (4, "//h", "<article>open <b>never closed"), (5, "http://h", "<" * 5000), (6, "http://h", "<div>" * 3000 + "deep"), (7, "http://h", "</div></article>x<script>y")]
+    rows = [(1, None, None), (None, "x", ""), (2, "http://h/1", "plain &amp; text"), (2, "http://h/1", "plain &amp; text"), (3, "", "<p>a<p>b</p"), (4, "//h", "<article>open <b>never closed"), (5, "http://h", "<" * 5000), (6, "http://h", "<div>" * 3000 + "deep"), (7, "http://h", "</div></article>x<script>y"), (8, "http://h", "<article class='a><p>one</p><p title=\"t>two</p></article>")]
     df = spark.createDataFrame([(*r, 1, "z") for r in rows], "page_id long, url string, html string, page int, host string")
     out = collections.defaultdict(list)
     for r in pages.html_extract(df).collect():
         out[r.page_id].append(r.text)
     assert out[1] == out[None] == [""] and out[2] == ["plain & text"] * 2 and out[3] == ["a\n\nb"] and out[4] == ["open never closed"]
-    assert out[6] == ["deep"] and out[7] == ["x"] and len(out[5]) == 1
+    assert out[6] == ["deep"] and out[7] == ["x"] and len(out[5]) == 1 and out[8] == ["one\n\ntwo"]
     assert pages.html_extract(df.limit(0)).count() == 0
