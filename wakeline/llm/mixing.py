@@ -96,7 +96,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     block = F.pmod(hashed("mix_source", "__id"), F.col("blocks"))
     turn = F.struct(hashed("mix_source", F.lit("block"), F.col("mix_block").cast("string")).alias("t"), F.col("mix_block"))
     place = F.struct(hashed("mix_source", F.lit("document"), "__id").alias("t"), F.col("__id").alias("i"))
-    weights = broadcast_if_small(weights, n_sources + 1, 200)
+    weights = broadcast_if_small(weights, sources.count(), 200)
 
     placed = rows.join(weights, "mix_source").withColumn("mix_block", block)
     blocks = placed.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("n"), F.first("room").alias("room"))
