@@ -12,7 +12,7 @@ from wakeline.operators import cells, cover, ingest, segment
 from wakeline.sources import ais as files
 from wakeline.sources import reference
 from wakeline.sources.geojson import regions
-from wakeline.sources.store import number
+from wakeline.sources.store import number, staged
 
 from .fixture import AIS_CTE, POINTS_CTE, ais
 
@@ -460,13 +460,14 @@ def stops(spark, sf):
 
 
 def _trajectories(spark, sf) -> DataFrame:
+    """With ids; staged first, as dealing rows by ranges looks at them twice."""
     rows = _objects(spark, sf, "traj").select("mmsi", F.timestamp_seconds("ts_start").cast("timestamp_ntz").alias("ts_start"), F.timestamp_seconds("ts_end").cast("timestamp_ntz").alias("ts_end"), "coords")
-    return number(rows, "trajectory_id", ["mmsi", "ts_start", "ts_end"])
+    return number(staged(rows), "trajectory_id", ["mmsi", "ts_start", "ts_end"])
 
 
 def _stops(spark, sf) -> DataFrame:
     rows = _objects(spark, sf, "stop").select("mmsi", F.timestamp_seconds("ts_start").cast("timestamp_ntz").alias("ts_start"), F.timestamp_seconds("ts_end").cast("timestamp_ntz").alias("ts_end"), "ring")
-    return number(rows, "stop_id", ["mmsi", "ts_start", "ts_end"])
+    return number(staged(rows), "stop_id", ["mmsi", "ts_start", "ts_end"])
 
 
 @query()
