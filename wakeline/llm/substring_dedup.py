@@ -199,11 +199,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if window < PERIOD:
         raise ValueError(f"window must be {PERIOD} words at least")
     n = batches_for(docs, text_col)
+    parts = max(min(n, 4096), n // 16)  # ranges of hashes: as many as batches, or fewer where a batch would send few hashes to each
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     base = base.select(F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("batch"), "id", "text")
     texts = base.groupBy("batch")
-    anchors = texts.applyInArrow(grouped(_send_anchors, window=window, parts=n), _SENT)
+    anchors = texts.applyInArrow(grouped(_send_anchors, window=window, parts=parts), _SENT)
     shared = anchors.groupBy("part").applyInArrow(grouped(_shared_anchors), _SENT)
-    windows = base.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(cogrouped(_send_windows, window=window, parts=n), _SENT)
+    windows = base.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(cogrouped(_send_windows, window=window, parts=parts), _SENT)
     first = windows.groupBy("part").applyInArrow(grouped(_first_documents), _SENT)
     return base.groupBy("batch").cogroup(first.groupBy("batch")).applyInArrow(cogrouped(_strip, window=window), "id long, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)
