@@ -123,8 +123,8 @@ def _common(rows: list[np.ndarray], others: list[np.ndarray] | None = None) -> n
     owner, column = owner[keep], column[keep]
     n = len(rows)
     out = np.zeros((n, len(others) if others else n), np.float32)
-    step = max(64, (1 << 22) // max(1, len(both)))
     total = int(column[-1]) + 1 if len(column) else 0
+    step = max(1, min(total, max(64, (1 << 22) // max(1, len(both)))))
     edges = np.searchsorted(column, np.arange(0, total + step, step))
     for a, b in zip(edges[:-1], edges[1:]):
         if a < b:
@@ -194,13 +194,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     clusters = components(meet, "node", "least")
     members = durable(clusters.select("node", F.col("component").alias("cluster")).join(nodes.select("node", "rid", "copies"), "node"))
     found = members.count()
-    blocks = members.groupBy("cluster").agg(F.ceil(F.count("*") / block_texts).cast("int").alias("blocks"))
+    blocks = durable(members.groupBy("cluster").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block_texts).cast("int").alias("blocks")))
+    copies = blocks.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0  # rows that are dealt
+    blocks = blocks.drop("n")
     dealt = members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
     packs = max(1, found // 256)
     dealt = dealt.withColumn("pack", F.expr(f"if(blocks = 1, pmod(xxhash64(cluster), {packs}), xxhash64(cluster, first, second))")).drop("other", "blocks")
-    texts = base.select("rid", "text").join(broadcast_if_small(dealt, found, 96), "rid")
+    texts = base.select("rid", "text").join(broadcast_if_small(dealt, copies, 96), "rid")
     tasks = min(MOST_TASKS, packs + members.sparkSession.sparkContext.defaultParallelism)
     texts = texts.select("pack", "cluster", "first", "second", "block", "node", "copies", "text").repartition(tasks, "pack")  # work is not in proportion to bytes
     linked = texts.groupBy("pack").applyInArrow(grouped(_verify, width=width, threshold=threshold), _FOUND)
