@@ -111,7 +111,6 @@ class Model:
     def start(self) -> Model:
         self.counter = Terms(self.terms)
         self.index = BlockMaxIndex(self.vectors)
-        self.place = {d: i for i, d in enumerate(self.ids)}
         self.kept: dict = {}
         return self
 
@@ -120,20 +119,21 @@ class Model:
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()}
 
-    def vote(self, vector: dict[int, float], own) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.nearest(vector, NEIGHBOURS, self.place.get(own, -1))
+    def vote(self, vector: dict[int, float], but: int = -1) -> tuple[float, list[tuple[float, int]]]:
+        near = self.index.nearest(vector, NEIGHBOURS, but)
         weights = [1 / (1.05 - s) for s, _ in near]
         yes = sum(w for w, (_, i) in zip(weights, near) if self.labels[i])
         return (yes + PRIOR_VOTES * self.base_rate) / (sum(weights) + PRIOR_VOTES), near
 
-    def score(self, text: str, own=None) -> tuple[float, list[tuple[float, int]]]:
+    def score(self, text: str) -> tuple[float, list[tuple[float, int]]]:
+        """The score depends on the text alone."""
         counts = self.counter.count(text)
         if not counts:
             return self.empty_rate, []
-        key = (tuple(sorted(counts.items())), self.place.get(own, -1))
+        key = tuple(sorted(counts.items()))
         got = self.kept.get(key)
         if got is None:
-            raw, near = self.vote(self.vector(counts), own)
+            raw, near = self.vote(self.vector(counts))
             got = float(np.interp(raw, *self.knots)), near[:3]
             if len(self.kept) >= _KEPT_SCORES:
                 self.kept.clear()
@@ -234,9 +234,9 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     model.ids, model.labels = [r[2] for r in some], [r[3] for r in some]
     model.vectors = [model.vector(dict(zip(r[0], r[1]))) for r in some]
     model.start()
-    raw = np.array([model.vote(v, i)[0] for v, i in zip(model.vectors, model.ids)])
+    raw = np.array([model.vote(v, i)[0] for i, v in enumerate(model.vectors)])  # each without its own vote
     model.knots = isotonic(raw, np.array(model.labels))
-    for name in ("counter", "index", "place", "kept"):
+    for name in ("counter", "index", "kept"):
         delattr(model, name)
     return model
 
@@ -248,11 +248,12 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
     labelled holds ids and labels (0 or 1) of the rows to learn from; null ids and labels are left out, an id with
     both labels counts as 1. A text without any of the model's terms (a null or empty one too) gets the share of
     toxic rows among examples without any. Without toxic examples all scores are the smoothed base rate; without any
-    examples 0. A row's own label has no vote in its score. Repeated rows are scored alike; an empty table gives an
+    examples 0. A score depends on the text alone, so a row that is an example finds itself among its neighbours; the
+    calibration does without such votes. Repeated rows are scored alike; an empty table gives an
     empty result; other columns are not read. No shuffle of texts: the bounded model goes to each task.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("own"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = _scored(rows, fit(docs, labelled, id_col, text_col, label_col), [f"id {kind}"])
     return out.withColumnRenamed("id", id_col)
 
@@ -263,13 +264,13 @@ def reject_toxic(docs: DataFrame, labelled: DataFrame, threshold: float = 0.3, i
     kinds = [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema)]
     rows = docs.toDF(*names)
     at = docs.columns.index
-    rows = rows.select(*names, F.col(names[at(id_col)]).cast("long").alias("own"), F.col(names[at(text_col)]).cast("string").alias("text"))
+    rows = rows.select(*names, F.col(names[at(text_col)]).cast("string").alias("text"))
     out = _scored(rows, fit(docs, labelled, id_col, text_col, label_col), kinds).filter(F.col("score") < threshold)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def _scored(rows: DataFrame, model: Model, kinds: list[str]) -> DataFrame:
-    """The first columns of rows (named and typed by kinds) with score and evidence; the last two are own id and text."""
+    """The first columns of rows (named and typed by kinds) with score and evidence; the last is the text."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     width = len(kinds)
 
@@ -278,7 +279,7 @@ def _scored(rows: DataFrame, model: Model, kinds: list[str]) -> DataFrame:
         if not hasattr(m, "index"):
             m.start()
         for batch, part in _texts(batches):
-            got = [m.score(x, own) for x, own in zip(part, batch.column(width).to_pylist())]
+            got = [m.score(x) for x in part]
             proof = [[{"id": m.ids[i], "label": m.labels[i], "cosine": s} for s, i in near] for _, near in got]
             kind = pa.list_(pa.struct([("id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
             scores = pa.array([min(1.0, max(0.0, s)) for s, _ in got], pa.float64())
