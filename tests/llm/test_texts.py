@@ -4,11 +4,12 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from wakeline.llm import line_dedup as lines
-from wakeline.llm.jaccard_join import jaccard_join, prefix_depth
+from wakeline.llm.jaccard_join import jaccard_join, prefix_depth, similar
 from wakeline.llm.line_dedup import line_dedup
 from wakeline.llm.substring_dedup import substring_dedup
 
@@ -135,6 +136,22 @@ def test_prefixes_shorten_until_the_recall_is_met():
     assert prefix_depth(0.99) == 8 and prefix_depth(0.1) == 1
 
 
+def test_pairs_right_at_the_threshold():
+    m = np.arange(1, 5001)
+    for shared, united, want in ((4 * m, 5 * m, True), (4 * m - 1, 5 * m, False), (4 * m, 5 * m + 1, False)):
+        hits = [similar(np.array([[s]], np.float32), np.array([u]), np.array([s]), 0.8)[0, 0] for s, u in zip(shared, united)]
+        assert set(hits) == {want}
+
+
+def test_jaccard_join_right_at_the_threshold(spark):
+    texts = []
+    for m in (1, 2, 3, 5, 6, 7, 8, 13, 26, 54, 100, 333, 1000):
+        w = [f"w{m}x{i}" for i in range(5 * m + 4)]
+        texts += [" ".join(w), " ".join(w[: 4 * m + 4]), " ".join(w[: 4 * m + 3])]  # 4m of 5m shingles, and one fewer
+    got = {r.doc_id: tuple(r)[1:] for r in jaccard_join(table(spark, texts)).collect()}
+    assert got == jaccard_classes(list(enumerate(texts)))
+
+
 def test_jaccard_join_on_odd_tables(odd, none):
     rows = jaccard_join(odd).collect()
     assert len(rows) == odd.count()

@@ -134,6 +134,14 @@ def _common(rows: list[np.ndarray], others: list[np.ndarray] | None = None) -> n
     return out
 
 
+def similar(same: np.ndarray, rows: np.ndarray, others: np.ndarray, threshold: float) -> np.ndarray:
+    """Where the Jaccard similarity is threshold at least, by how many shingles are shared and the sizes of both sides' sets.
+
+    In 64 bits, because pairs right at the threshold count; the slack is above rounding and below one shingle for any size."""
+    both = rows.astype(np.float64)[:, None] + others.astype(np.float64)[None, :]
+    return same.astype(np.float64) * (1 + threshold) >= threshold * both - 1e-9 * both
+
+
 def _verify(key, rows: pa.Table, width: int, threshold: float) -> pa.Table:
     w, bounds = shingle_sets(rows.column("text"), width)
     node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
@@ -156,7 +164,7 @@ def _verify(key, rows: pa.Table, width: int, threshold: float) -> pa.Table:
             if not len(p) or not len(q):
                 continue
             same = _common([sets[i] for i in p], [sets[i] for i in q])
-        hit = same * (1 + threshold) >= threshold * (size[p][:, None] + size[q][None, :]) - 1e-6
+        hit = similar(same, size[p], size[q], threshold)
         if p is q:
             np.fill_diagonal(hit, False)
         i, j = np.nonzero(hit)
