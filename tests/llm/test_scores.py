@@ -217,6 +217,17 @@ def test_the_battery_tells_random_from_words(spark, words):
             assert texts[r.doc_id][x.s : x.e] in texts[r.doc_id].split(" ")
 
 
+@pytest.mark.parametrize("paths", [0, 3000])
+def test_a_random_key_is_found_in_a_small_table_and_among_paths(spark, words, paths):
+    rng = random.Random(13)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n)) for n in (24, 32, 40)]
+    texts = [f"see {k} here" for k in keys]
+    texts += ["/" + "/".join(words(rng.randint(5, 8))) + f"/v{i % 7}" for i in range(paths)] + ["/usr/share/doc/common-files/a-b-c"] * paths
+    rows = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {texts[r.doc_id][x.s : x.e] for r in rows for x in r.spans}
+    assert found == set(keys)
+
+
 def test_secrets_on_odd_tables(odd, none):
     rows = secrets.find_secrets(odd).collect()
     assert len(rows) == odd.count()

@@ -5,15 +5,19 @@ base 64) is inferred from its characters. Three tests ask whether it looks drawn
 chi-squared test of the characters' counts, a runs test about the middle of the alphabet, and a test of the serial
 correlation of neighbours. Fisher's method joins their p-values to one statistic: small for random text.
 
-How small is telling depends on the length: short words look random now and then. So tokens of letters in one case
-alone, the words of the corpus, are the null sample, for each class of lengths those as long or shorter (the
-harder comparison). A candidate's p-value is the share of the null sample that looks as random, and the Benjamini-
-Hochberg procedure holds the false discoveries among the candidates of a length class to a given rate.
+Two things are asked of a token. By the tests' own distribution (Fisher's statistic of random text is chi-squared with
+six degrees of freedom) the battery must not rule out that it is random. And it must not be words, numbers and
+separators: a chain over characters, its letter pairs fitted to words of the corpus, is the null. Under it the ratio
+of the two likelihoods (drawn evenly, by the chain) is t or more with a chance of 1/t at most, so
+the number of alphabets over t is a p-value that resolves any rate, for any length and in tables of any size. The Benjamini-Hochberg procedure over
+the distinct candidates holds the false discoveries to a given rate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The base patterns (group 0 is the span), and how long a match (assign: its second group) has to be.
@@ -25,8 +29,12 @@ PATTERNS = {
 #: Candidates: runs of so many of these characters.
 TOKEN, LEAST = r"[A-Za-z0-9+/_-]{20,}", 20
 RATE = 0.01
-#: The statistic is counted in steps of 1/STEPS up to a limit that no test can miss.
-STEPS, MOST = 4, 240
+#: Fisher's statistic is larger than that for one random token of 1,000 (chi-squared, six degrees of freedom).
+RANDOM = 22.458
+#: The logarithm of the ratio is counted in whole steps up to a limit that is telling among any number of candidates.
+MOST = 100
+#: The chain's letter pairs are fitted to the beginnings of about so many texts, chosen by their hashes.
+FIT_TEXTS, FIT_CHARS = 2000, 4000
 
 _ALPHABETS = {
     "hex": "0123456789abcdef",
@@ -37,6 +45,11 @@ _ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 
+_CLASSES = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/-_"]
+_CHARS = "".join(_CLASSES)
+#: Chances of the next character's class in words, numbers and separators: a row for each class, the last for the start.
+_NEXT = [(0.85, 0.03, 0.03, 0.09), (0.45, 0.45, 0.05, 0.05), (0.05, 0.05, 0.75, 0.15), (0.5, 0.15, 0.25, 0.1), (0.5, 0.15, 0.25, 0.1)]
+
 
 def spans(text: str, pattern: str, group: int, least: int) -> str:
     """SQL for an array of (s, e, t): start and end in code points of each match, leftmost first and not overlapping, whose
@@ -57,13 +70,18 @@ def _normal_tail(z: str) -> str:
     return f"1 / (1 + exp(least(700D, 1.5976D * ({z}) + 0.07056D * power({z}, 3))))"
 
 
-def randomness(token: str) -> str:
-    """SQL for Fisher's statistic of the three tests for a token of LEAST characters or more: 0 and up, small if random."""
-    kind = (
+def _alphabet(token: str) -> str:
+    """SQL for the alphabet that a token's characters tell."""
+    return (
         f"case when {token} rlike '^[0-9a-f]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['hex']}' when {token} rlike '^[0-9A-F]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['HEX']}' "
         f"when {token} rlike '^[A-Z2-7]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['base32']}' when {token} rlike '^[a-z]+$' then '{_ALPHABETS['lower']}' "
         f"when {token} rlike '^[A-Za-z0-9]+$' then '{_ALPHABETS['alnum']}' else '{_ALPHABETS['base64']}' end"
     )
+
+
+def randomness(token: str) -> str:
+    """SQL for Fisher's statistic of the three tests for a token of LEAST characters or more: 0 and up, small if random."""
+    kind = _alphabet(token)
     values = f"transform(split({token}, ''), c -> cast(instr({kind}, c) - 1 as double))"
     letters = f"cast(length({kind}) as double)"
     step = (
@@ -92,33 +110,43 @@ def _span(place: int, kind: str):
     return lambda x: F.struct(x["s"].alias("s"), F.lit(place).alias("o"), x["e"].alias("e"), F.lit(kind).alias("kind"))
 
 
-def _length_class(token: Column) -> Column:
-    return F.floor(2 * F.log2(F.length(token).cast("double"))).cast("int")
-
-
-def _is_word(token: Column) -> Column:
-    return token.rlike("^([A-Z]?[a-z]+|[A-Z]+)$")
-
-
-def thresholds(tokens: DataFrame, rate: float = RATE) -> dict[int, int]:
-    """For each length class the last step of the statistic that the procedure accepts; tokens has one column, token.
-
-    Only counts by class and step are gathered: some dozens of classes times MOST steps, whatever the input."""
-    step = F.least(F.floor(F.expr(randomness("token")) * STEPS), F.lit(MOST)).cast("int")
-    counts = tokens.select(_length_class(F.col("token")).alias("class"), step.alias("step"), _is_word(F.col("token")).alias("word")).groupBy("class", "step").agg(F.count_if("word").alias("null"), F.count_if(~F.col("word")).alias("some"))
-    rows = sorted(tuple(r) for r in counts.collect())
-    out: dict[int, int] = {}
-    null = [0] * (MOST + 1)
-    for c in sorted({r[0] for r in rows}):
-        some = [0] * (MOST + 1)
-        for _, s, a, b in (r for r in rows if r[0] == c):
-            null[s] += a
-            some[s] += b
-        total, all_, below, found = sum(null), sum(some), 0, 0
-        for s in range(MOST + 1):
-            below, found = below + null[s], found + some[s]
-            if found and (1 + below) / (1 + total) * all_ / found <= rate:
-                out[c] = s
+def fit_chain(texts: DataFrame) -> str:
+    """SQL for an array with the logarithms of the chain's chances: of a character (column) after another (row; the last is the start).
+
+    texts has one column, text. Counts of letter pairs are all that is gathered; each starts at one, so that without texts all are alike."""
+    share = min(1.0, FIT_TEXTS / max(1, texts.count()))
+    some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.substring("text", 1, FIT_CHARS).alias("text")).distinct()
+    words = some.select(F.explode(F.expr("regexp_extract_all(text, '(?<![A-Za-z0-9+/_-])[A-Za-z]{2,}(?![A-Za-z0-9+/_-])', 0)")).alias("w")).select(F.lower("w").alias("w"))
+    pairs = words.select(F.explode(F.expr("transform(sequence(1, length(w) - 1), i -> substring(w, i, 2))")).alias("pair"))
+    seen = {r.pair: r.n for r in pairs.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    letters = _CLASSES[0]
+    after = {x: 26 + sum(seen.get(x + y, 0) for y in letters) for x in letters}
+    out = []
+    for x in [*_CHARS, ""]:
+        of = next((i for i, chars in enumerate(_CLASSES) if x and x in chars), 4)
+        for y in _CHARS:
+            to = next(i for i, chars in enumerate(_CLASSES) if y in chars)
+            pair = (1 + seen.get((x + y).lower(), 0)) / after[x.lower()] if of < 2 and to < 2 else 1 / len(_CLASSES[to])
+            out.append(math.log(_NEXT[of][to] * pair))
+    return "cast(split('" + ",".join(f"{v:.6f}" for v in out) + "', ',') as array<double>)"
+
+
+def surprise(token: str, chain: str) -> str:
+    """SQL for the whole steps of the ratio's logarithm, 0 to MOST; 0 if the battery rules out that the token is random."""
+    n = len(_CHARS)
+    at = f"transform(split({token}, ''), c -> instr('{_CHARS}', c))"
+    by_chain = f"aggregate({at}, struct({n + 1} as p, 0D as s), (a, c) -> struct(c as p, a.s + element_at({chain}, (a.p - 1) * {n} + c) as s), a -> a.s)"
+    ratio = f"-length({token}) * ln(length({_alphabet(token)})) - {by_chain}"
+    return f"cast(if(({ratio}) < 1 or {randomness(token)} > {RANDOM}D, 0, least(floor({ratio}), {MOST})) as int)"
+
+
+def least_step(steps: dict[int, int], rate: float = RATE) -> int | None:
+    """The smallest step that the procedure accepts, by the numbers of distinct candidates with each step; None if there is none."""
+    every, found, out = sum(steps.values()), 0, None
+    for s in range(MOST, 0, -1):
+        found += steps.get(s, 0)
+        if found and len(_ALPHABETS) * math.exp(-s) * every / found <= rate:
+            out = s
     return out
 
 
@@ -127,7 +155,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans of kind 'random' that the battery adds where no base span lies). Starts and ends are code points, ends exclusive.
 
     A null text is empty. Repeated rows are scanned each for itself; null ids stay null; an empty table gives an empty
-    result; other columns are not read. Whole texts are scanned where they lie: only the battery's counts are shuffled.
+    result; other columns are not read. Whole texts are scanned where they lie: the candidates' hashes and a bounded
+    sample of texts' beginnings are shuffled.
     """
     base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     rows = base
@@ -136,10 +165,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows = rows.withColumn(f"__{kind}", F.transform(found, _span(o, kind)))
     rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(f"__{k}") for k in PATTERNS]))).withColumn("__tokens", F.expr(spans("__text", TOKEN, 0, LEAST)))
     rows = rows.select("__id", "base", F.expr("filter(__tokens, t -> not exists(base, b -> b.s < t.e and t.s < b.e))").alias("__tokens"))
-    limits = thresholds(rows.select(F.explode("__tokens.t").alias("token")), rate)
-    if not limits:
+    chain = fit_chain(base.select(F.col("__text").alias("text")))
+    rows = rows.withColumn("__tokens", F.expr(f"transform(__tokens, t -> struct(t.s as s, t.e as e, t.t as t, {surprise('t.t', chain)} as step))"))
+    distinct = rows.select(F.explode("__tokens").alias("t")).select(F.xxhash64("t.t").alias("token"), F.col("t.step").alias("step")).distinct()
+    least = least_step({r.step: r.n for r in distinct.groupBy("step").agg(F.count("*").alias("n")).collect()}, rate)  # MOST + 1 rows
+    if least is None:
         return rows.select(F.col("__id").alias(id_col), "base", F.col("base").alias("spans"))
-    allowed = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-    random = F.expr(f"filter(__tokens, t -> not (t.t rlike '^([A-Z]?[a-z]+|[A-Z]+)$') and floor({randomness('t.t')} * {STEPS}) <= coalesce(__limits[cast(floor(2 * log2(cast(length(t.t) as double))) as int)], -1))")
-    more = rows.withColumn("__limits", allowed).withColumn("__random", F.transform(random, _span(len(PATTERNS), "random")))
+    more = rows.withColumn("__random", F.transform(F.expr(f"filter(__tokens, t -> t.step >= {least})"), _span(len(PATTERNS), "random")))
     return more.select(F.col("__id").alias(id_col), "base", F.array_sort(F.concat("base", "__random")).alias("spans"))
