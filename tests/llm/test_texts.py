@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wakeline.llm import line_dedup as lines
+from wakeline.llm.common import hash_words
 from wakeline.llm.jaccard_join import jaccard_join, prefix_depth, similar
 from wakeline.llm.line_dedup import line_dedup
 from wakeline.llm.substring_dedup import substring_dedup
@@ -68,6 +69,16 @@ def test_line_dedup_with_repeated_words_and_equal_bags(spark):
     assert got == kept_lines(list(enumerate(texts)))
 
 
+def test_line_dedup_with_a_very_long_line_and_clashing_columns(spark, words):
+    w = words(3000)
+    texts = [" ".join(w), " ".join(w[:1999] + w[2000:]), " ".join([*w[:700], "other", *w[701:]]), " ".join(w[::-1])]
+    rows = [(i, t, i, "t", "r", i, "n") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __text int, __did string, __gone string, lines_in long, __LINES string")
+    got = {r.doc_id: r for r in line_dedup(df).collect()}
+    assert {i: r.text for i, r in got.items()} == kept_lines(list(enumerate(texts)))
+    assert all(r["__text"] == i and (r["__did"], r["__gone"], r["__LINES"]) == ("t", "r", "n") and r.lines_in == 1 for i, r in got.items())
+
+
 def test_line_dedup_on_odd_tables(spark, odd, none):
     rows = line_dedup(odd).collect()
     assert len(rows) == odd.count() and rows[0].__fields__[: len(odd.columns)] == odd.columns
@@ -202,6 +213,38 @@ def test_any_shift_of_two_texts_shares_an_anchor():
             assert any((i + k) % PERIOD in COVER and (j + k) % PERIOD in COVER for k in range(PERIOD))
 
 
+def thue_morse(n):
+    """Two different words that plain polynomial hashes modulo a power of two cannot tell apart."""
+    w = "a"
+    while len(w) < n:
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w, w.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_made_to_collide(spark, n):
+    a, b = thue_morse(n)
+    data = np.frombuffer(f"{a} {b}".encode(), np.uint8)
+    for h in (hash_words(data, np.array([0, len(data)]), True)[i] for i in (0, 4)):
+        assert h[0] != h[1]
+    head = " ".join(f"w{i}" for i in range(12))
+    texts = [f"{head} {a}", f"{head} {b}", f"{head} {a}"]
+    got = {r.doc_id: tuple(r)[1:] for r in substring_dedup(table(spark, texts)).collect()}
+    assert got == stripped(list(enumerate(texts)))
+    got = {r.doc_id: tuple(r)[1:] for r in jaccard_join(table(spark, [f"w x y z {a}", f"w x y z {b}"])).collect()}
+    assert got == {0: (0, 0, 0, True), 1: (1, 0, 0, True)}
+
+
+def test_windows_of_which_one_hash_is_equal():
+    from wakeline.llm import substring_dedup as sub
+
+    w = np.array([[5, 1], [7, 9], [5, 2], [5, 1], [7, 9], [5, 3]], np.uint64)
+    order, start = sub._sorted(w)
+    assert w[order[start]].tolist() == [[5, 1], [5, 2], [5, 3], [7, 9]] and order.tolist() == [0, 3, 2, 5, 1, 4]
+    at, hit = sub._find(w[order[start]], np.array([[5, 3], [5, 4], [7, 9], [8, 0], [5, 1]], np.uint64))
+    assert hit.tolist() == [True, False, True, False, True] and at[hit].tolist() == [2, 3, 0]
+
+
 def test_substring_dedup_on_odd_tables(spark, odd, none):
     rows = substring_dedup(odd).collect()
     assert len(rows) == odd.count()

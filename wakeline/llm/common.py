@@ -20,8 +20,9 @@ ARROW_ROWS = 1000
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """The session, set for rows that hold whole texts."""
+    """The session, set for rows that hold whole texts, and to remove each job's shuffle files when it ends."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -30,21 +31,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a temporary one on a local master, which has
+    one machine; on a cluster each executor would write to a disk of its own, so there it is an error."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="wakeline-shared-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(sc._jsc.hadoopConfiguration()), at
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: a cut of the lineage that outlives lost executors."""
-    spark = df.sparkSession
+    """Write df to the shared folder and read it back: a cut of the lineage that outlives lost executors.
+
+    The table goes with discard(), at the latest when the driver ends."""
+    spark = tuned(df.sparkSession)
     path = f"{shared_dir(spark)}/wakeline-{uuid.uuid4().hex}"
+    files, at = _file_system(spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables that durable() wrote and that nothing will read again."""
+    for df in staged:
+        files, at = _file_system(df.sparkSession, df._staged)
+        files.delete(at, True)
+
+
+def clear_of(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with its columns named by their places, so that no name can clash with an operator's own, and these names."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names
 
 
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit_mb: int = 32) -> DataFrame:
@@ -62,10 +91,19 @@ def batches_for(df: DataFrame, text_col: str, batch_mb: int = 8) -> int:
     return max(least, -(-text_bytes(df, text_col) // (batch_mb << 20)))
 
 
+def running(values: str, op, block: int = 64) -> str:
+    """SQL for the running totals of an array under op, which is associative and takes and gives SQL. Blocks keep the work for n
+    values near n * block + (n / block)**2 / 2, where one fold that appends to its result would copy n**2 / 2."""
+    fold = lambda v: f"transform(array({v}), _s -> aggregate(slice(_s, 2, size(_s)), slice(_s, 1, 1), (_a, _x) -> concat(_a, array({op('element_at(_a, -1)', '_x')}))))[0]"
+    parts = f"transform(sequence(0, (size(_v) - 1) div {block}), _k -> {fold(f'slice(_v, _k * {block} + 1, {block})')})"
+    tops = fold("transform(_p, _y -> try_element_at(_y, -1))")
+    joined = f"flatten(transform(_p, (_y, _k) -> if(_k = 0, _y, transform(_y, _z -> {op('_t[_k - 1]', '_z')}))))"
+    return f"transform(array({values}), _v -> transform(array({parts}), _p -> transform(array({tops}), _t -> {joined})[0])[0])[0]"
+
+
 # ---- hashing of words -------------------------------------------------------------------------------------------
 
 _CHUNK = 1 << 18
-_BASE = 0x9E3779B97F4A7C15 | 1
 _WBASE = 0xD1342543DE82EF95 | 1
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
@@ -90,7 +128,7 @@ class _Powers:
         return self.p[:n], self.q[:n]
 
 
-_BYTES, _WORDS = _Powers(_BASE), _Powers(_WBASE)
+_WORDS = _Powers(_WBASE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -117,14 +155,16 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def hash_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each maximal run of bytes other than ASCII white space, within one text: hash, text index, start, end.
+def hash_words(data: np.ndarray, offs: np.ndarray, wide: bool = False) -> tuple[np.ndarray, ...]:
+    """For each maximal run of bytes other than ASCII white space, within one text: hash, text index, start, end, and with
+    wide a second hash.
 
-    Memory beyond the results is bounded by a chunk (a single longer word aside)."""
+    A hash is a mixed sum over a word's bytes of a value for (byte, place in the word) that no linear form yields, so words
+    cannot be built to cancel out. Memory beyond the results is bounded by a chunk (a single longer word aside)."""
     n = len(data)
     border = np.zeros(n + 1, bool)
     border[offs] = True
-    got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    got: list[tuple[np.ndarray, ...]] = []
     pos = 0
     while pos < n:
         size = _CHUNK
@@ -144,16 +184,24 @@ def hash_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
         first[1:] &= sep[:-1] | edge
         last[:-1] &= sep[1:] | edge
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        p, q = _BYTES.upto(len(b))
-        total = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * p, out=total[1:])
-        got.append((mix((total[e] - total[s]) * q[s] + (e - s).astype(np.uint64)), s + pos, e + pos))
+        if len(s):
+            length = e - s
+            starts = np.cumsum(length) - length
+            place = np.arange(int(length.sum())) - np.repeat(starts, length)
+            x = mix((place.astype(np.uint64) << np.uint64(8) | b[word]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x2545F4914F6CDD1D))
+            h = [mix(np.add.reduceat(x, starts) + length.astype(np.uint64))]
+            if wide:
+                x ^= x >> np.uint64(29)
+                x *= np.uint64(0xFF51AFD7ED558CCD)
+                x ^= x >> np.uint64(32)
+                h.append(mix(np.add.reduceat(x, starts) ^ length.astype(np.uint64)))
+            got.append((h[0], s + pos, e + pos, *h[1:]))
         pos = end
     if not got:
-        empty = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), empty, empty, empty
-    h, s, e = (np.concatenate(x) for x in zip(*got))
-    return h, np.searchsorted(offs, s, side="right") - 1, s, e
+        empty, none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (none, empty, empty, empty, none) if wide else (none, empty, empty, empty)
+    h, s, e, *more = (np.concatenate(x) for x in zip(*got))
+    return h, np.searchsorted(offs, s, side="right") - 1, s, e, *more
 
 
 def window_hashes(words: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,8 @@ hash runs of WINDOW - period + 1 words at cover positions only. Runs that more t
 anchors; only windows that hold an anchor are extended to full windows, hashed, and given the smallest
 document that they start in.
 
+Windows are told apart by two hashes of 64 bits each over two such hashes of each word.
+
 Nothing is paired: batches of documents send each hash once to the range of hashes it belongs to, and get back
 the hashes that other batches have too. A passage in a third of all documents costs one entry a batch.
 """
@@ -29,10 +31,39 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
     return column.combine_chunks().fill_null(LAST_ID).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _words(docs: pa.Table):
+def _words(docs: pa.Table, wide: bool = False):
     data, offs = buffers(docs.column("text"))
-    h, doc, s, e = hash_words(data, offs)
-    return data, h, doc, s, e
+    return data, *hash_words(data, offs, wide)
+
+
+def _sorted(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of windows (a row of two hashes each), stable, and where in it each different window starts."""
+    order = np.argsort(w[:, 0], kind="stable")
+    x = w[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:, 0] != x[:-1, 0]
+    if (~new[1:] & (x[1:, 1] != x[:-1, 1])).any():  # one hash is equal, the other is not
+        order = np.lexsort((w[:, 1], w[:, 0]))
+        x = w[order]
+        new[1:] = (x[1:] != x[:-1]).any(1)
+    return order, np.flatnonzero(new)
+
+
+def _find(known: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of w its place in known (sorted windows, one at least), and whether it is there."""
+    n = len(known)
+    at = np.minimum(np.searchsorted(known[:, 0], w[:, 0]), n - 1)
+    while True:
+        after = np.minimum(at + 1, n - 1)
+        step = (after > at) & (known[at, 0] == w[:, 0]) & (known[at, 1] != w[:, 1]) & (known[after, 0] == w[:, 0])
+        if not step.any():
+            return at, (known[at] == w).all(1)
+        at[step] += 1
+
+
+def _windows(h: np.ndarray, more: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    w, inside = window_hashes(h, doc, window)
+    return np.stack([w, window_hashes(more, doc, window)[0]], axis=1), inside
 
 
 def _anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,36 +139,36 @@ def _by_batch(batch: np.ndarray, hashes: np.ndarray, ids: np.ndarray | None) ->
 
 
 def _send_windows(key, docs: pa.Table, back: pa.Table, window: int, parts: int) -> pa.Table:
-    """Windows that hold a shared anchor, each with the smallest and the largest document of the batch that has it."""
+    """Windows that hold a shared anchor, each with the smallest document of the batch that has it."""
     shared = np.sort(_unsix(from_binary(back.column("hashes"), np.uint8)[0]))
     if not len(shared) or not len(docs):
         return _send(0, np.zeros(0, np.int64), pa.array([], pa.binary()), None)
     ids = _ids(docs.column("id"))
-    _, h, doc, _, _ = _words(docs)
+    _, h, doc, _, _, more = _words(docs, True)
     at, a = _anchors(h, doc, window)
     at = at[shared[np.minimum(np.searchsorted(shared, a), len(shared) - 1)] == a]
-    w, inside = window_hashes(h, doc, window)
+    w, inside = _windows(h, more, doc, window)
     near = np.zeros(len(h) + 1, np.int64)
     near[at + 1] = 1
     near = np.cumsum(near)
     n = len(w)
     take = np.flatnonzero(inside & (near[PERIOD : PERIOD + n] > near[:n]))
     w, d = w[take], ids[doc[take]]
-    order = np.lexsort((d, w))
-    w, d = w[order], d[order]
-    start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.zeros(0, np.int64)
-    cut, bounds = _cut(w[start], parts, 64)
-    return _send(key[0].as_py(), cut, binary_array(w[start], bounds), binary_array(d[start], bounds))
+    order, start = _sorted(w)
+    w = w[order[start]]
+    least = np.minimum.reduceat(d[order], start) if len(start) else d
+    cut, bounds = _cut(w[:, 0], parts, 64)
+    return _send(key[0].as_py(), cut, binary_array(w, bounds), binary_array(least, bounds))
 
 
 def _first_documents(key, sent: pa.Table) -> pa.Table:
     """For each batch, its windows that start in a smaller document of another batch, with the smallest of all."""
     w, sizes = from_binary(sent.column("hashes"), np.uint64)
+    w = w.reshape(-1, 2)
     d, _ = from_binary(sent.column("ids"), np.int64)
-    batch = np.repeat(sent.column("batch").to_numpy(), sizes)
-    order = np.argsort(w, kind="stable")
+    batch = np.repeat(sent.column("batch").to_numpy(), sizes // 2)
+    order, start = _sorted(w)
     w, d, batch = w[order], d[order], batch[order]
-    start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.zeros(0, np.int64)
     if not len(start):
         return _by_batch(batch, w, d)
     least = np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(w))))
@@ -152,21 +183,18 @@ def _strip(key, docs: pa.Table, back: pa.Table, window: int) -> pa.Table:
     if not n_docs:
         return pa.table({"id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
     ids = _ids(docs.column("id"))
-    data, h, doc, s, e = _words(docs)
-    w, inside = window_hashes(h, doc, window)
+    data, h, doc, s, e, more = _words(docs, True)
+    w, inside = _windows(h, more, doc, window)
     take = np.flatnonzero(inside)
     x, d = w[take], ids[doc[take]]
-    order = np.argsort(x, kind="stable")
+    order, start = _sorted(x)
     sx, sd = x[order], d[order]
-    start = np.flatnonzero(np.concatenate([[True], sx[1:] != sx[:-1]])) if len(sx) else np.zeros(0, np.int64)
     gone = np.zeros(len(h) + 1, np.int64)
     if len(start):
         least = np.minimum.reduceat(sd, start)
         far, first = from_binary(back.column("hashes"), np.uint64)[0], from_binary(back.column("ids"), np.int64)[0]
         if len(far):
-            at = np.searchsorted(sx[start], far)
-            at = np.minimum(at, len(start) - 1)
-            hit = sx[start][at] == far
+            at, hit = _find(sx[start], far.reshape(-1, 2))
             least[at[hit]] = np.minimum(least[at[hit]], first[hit])
         size = np.diff(np.append(start, len(sx)))
         dup = take[order[sd > np.repeat(least, size)]]
@@ -199,12 +227,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if window < PERIOD:
         raise ValueError(f"window must be {PERIOD} words at least")
     n = batches_for(docs, text_col)
+    tasks = max(-(-n // 4), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that a task's share does not grow with the table
     parts = max(min(n, 4096), n // 16)  # ranges of hashes: as many as batches, or fewer where a batch would send few hashes to each
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    base = base.select(F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("batch"), "id", "text")
+    base = base.select(F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("batch"), "id", "text").repartition(tasks, "batch")
     texts = base.groupBy("batch")
     anchors = texts.applyInArrow(grouped(_send_anchors, window=window, parts=parts), _SENT)
-    shared = anchors.groupBy("part").applyInArrow(grouped(_shared_anchors), _SENT)
-    windows = base.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(cogrouped(_send_windows, window=window, parts=parts), _SENT)
-    first = windows.groupBy("part").applyInArrow(grouped(_first_documents), _SENT)
-    return base.groupBy("batch").cogroup(first.groupBy("batch")).applyInArrow(cogrouped(_strip, window=window), "id long, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)
+    shared = anchors.repartition(tasks, "part").groupBy("part").applyInArrow(grouped(_shared_anchors), _SENT)
+    windows = texts.cogroup(shared.repartition(tasks, "batch").groupBy("batch")).applyInArrow(cogrouped(_send_windows, window=window, parts=parts), _SENT)
+    first = windows.repartition(tasks, "part").groupBy("part").applyInArrow(grouped(_first_documents), _SENT)
+    return texts.cogroup(first.repartition(tasks, "batch").groupBy("batch")).applyInArrow(cogrouped(_strip, window=window), "id long, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)
