@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,6 +229,61 @@ def test_a_random_key_is_found_in_a_small_table_and_among_paths(spark, words, pa
     assert found == set(keys)
 
 
+def test_one_random_token_in_each_of_many_documents(spark, words):
+    rng = random.Random(14)
+    kinds = [string.ascii_letters + string.digits, string.ascii_lowercase, string.ascii_uppercase, string.ascii_uppercase + "234567", string.ascii_letters + string.digits + "+/"]
+    keys = ["".join(rng.choice(kinds[i % 5]) for _ in range(40)) for i in range(300)]
+    texts = [" ".join([*words(20), k, *words(20), "".join(words(12))]) for k in keys]
+    rows = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = [(texts[r.doc_id][x.s : x.e], keys[r.doc_id]) for r in rows for x in r.spans]
+    assert sum(a == b for a, b in found) >= 285 and sum(a != b for a, b in found) <= 3
+
+
+def test_a_row_with_very_many_matches(spark):
+    rng = random.Random(15)
+    hexes = ["%040x" % rng.getrandbits(160) for _ in range(20_000)]
+    text = "é ".join(hexes) + " token=abcdefghij_" + "k3j9" * 9
+    began = time.perf_counter()
+    got = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [tuple(x) for x in got.base] == base_spans(text) and len(got.base) == 20_001 and got.spans == got.base
+    assert time.perf_counter() - began < 60
+
+
+def test_tokens_that_overlap_are_left_out(spark):
+    rng = random.Random(16)
+    for _ in range(5):
+        draw = lambda n: [(a, a + rng.randint(1, 6)) for a in sorted(rng.sample(range(400), n))]
+        tokens, others = draw(150), draw(20)
+        df = spark.createDataFrame([([(*t, "x") for t in tokens], others)], "tokens array<struct<s:int,e:int,t:string>>, others array<struct<s:int,e:int>>")
+        got = df.select(F.expr(secrets.apart("tokens", "others")).alias("x")).first().x
+        assert [(x.s, x.e) for x in got] == [t for t in tokens if not any(o[0] < t[1] and t[0] < o[1] for o in others)]
+
+
+def fisher(token):
+    """The battery by its definition, in plain Python."""
+    kind = next(k for k in secrets._ALPHABETS.values() if set(token) <= set(k) and (len(k) not in (16, 32) or re.search("[0-9]", token)))
+    v, k, n = [kind.index(c) for c in token], len(kind), len(token)
+    chi, df = sum((c - n / k) ** 2 / (n / k) for c in (v.count(x) for x in range(k))), k - 1
+    up = [x >= k / 2 for x in v]
+    n1, n0 = sum(up), n - sum(up)
+    runs = 1 + sum(a != b for a, b in zip(up, up[1:]))
+    mean, var = 1 + 2 * n1 * n0 / n, 2 * n1 * n0 * (2 * n1 * n0 - n) / (n * n * (n - 1))
+    m = sum(v) / n
+    r = sum((a - m) * (b - m) for a, b in zip(v, v[1:])) / sum((x - m) ** 2 for x in v)
+    z = [((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)), abs(runs - mean) / math.sqrt(var), abs(r) * math.sqrt(n)]
+    tail = [0.5 * math.erfc(x / math.sqrt(2)) for x in z]
+    return -2 * sum(math.log(p) for p in (tail[0], min(1, 2 * tail[1]), min(1, 2 * tail[2])))
+
+
+def test_the_battery_by_its_definition(spark):
+    rng = random.Random(17)
+    tokens = ["".join(rng.choice(a) for _ in range(rng.randint(20, 80))) for a in secrets._ALPHABETS.values() for _ in range(30)]
+    tokens = [t for t in tokens if re.search("[0-9]", t) or re.fullmatch("[a-z]+|[A-Z]+", t)]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", F.expr(secrets.randomness("t")).alias("x"))
+    for r in df.collect():
+        assert abs(r.x - fisher(r.t)) < 0.02 * max(1, fisher(r.t)), r.t
+
+
 def test_secrets_on_odd_tables(odd, none):
     rows = secrets.find_secrets(odd).collect()
     assert len(rows) == odd.count()

@@ -7,7 +7,7 @@ correlation of neighbours. Fisher's method joins their p-values to one statistic
 
 Two things are asked of a token. By the tests' own distribution (Fisher's statistic of random text is chi-squared with
 six degrees of freedom) the battery must not rule out that it is random. And it must not be words, numbers and
-separators: a chain over characters, its letter pairs fitted to words of the corpus, is the null. Under it the ratio
+separators: a chain over characters, its letter pairs counted in all words of all texts, is the null. Under it the ratio
 of the two likelihoods (drawn evenly, by the chain) is t or more with a chance of 1/t at most, so
 the number of alphabets over t is a p-value that resolves any rate, for any length and in tables of any size. The Benjamini-Hochberg procedure over
 the distinct candidates holds the false discoveries to a given rate.
@@ -20,6 +20,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import running
+
 #: The base patterns (group 0 is the span), and how long a match (assign: its second group) has to be.
 PATTERNS = {
     "assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -33,14 +35,12 @@ RATE = 0.01
 RANDOM = 22.458
 #: The logarithm of the ratio is counted in whole steps up to a limit that is telling among any number of candidates.
 MOST = 100
-#: The chain's letter pairs are fitted to the beginnings of about so many texts, chosen by their hashes.
-FIT_TEXTS, FIT_CHARS = 2000, 4000
-
 _ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "alnum": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
@@ -51,18 +51,31 @@ _CHARS = "".join(_CLASSES)
 _NEXT = [(0.85, 0.03, 0.03, 0.09), (0.45, 0.45, 0.05, 0.05), (0.05, 0.05, 0.75, 0.15), (0.5, 0.15, 0.25, 0.1), (0.5, 0.15, 0.25, 0.1)]
 
 
+_NONE = "cast(array() as array<struct<s:int,e:int,t:string>>)"
+_ADD = lambda a, b: f"({a} + {b})"
+
+
 def spans(text: str, pattern: str, group: int, least: int) -> str:
     """SQL for an array of (s, e, t): start and end in code points of each match, leftmost first and not overlapping, whose
     group has least characters; t is the match. What lies between matches is what split() leaves."""
     quoted = "r'" + pattern.replace("'", "\\x27") + "'"
-    found, between = f"regexp_extract_all({text}, {quoted}, 0)", f"split({text}, {quoted}, -1)"
-    size = f"regexp_extract_all({text}, {quoted}, {group})"
-    walk = (
-        f"aggregate(zip_with(zip_with({found}, slice({between}, 1, size({found})), (m, b) -> struct(m as m, b as b)), {size}, (p, g) -> struct(p.m as m, p.b as b, g as g)), "
-        "struct(0 as at, cast(array() as array<struct<s:int,e:int,t:string>>) as o), "
-        f"(a, x) -> struct(a.at + length(x.b) + length(x.m) as at, if(length(x.g) >= {least}, concat(a.o, array(struct(a.at + length(x.b) as s, a.at + length(x.b) + length(x.m) as e, x.m as t))), a.o) as o), a -> a.o)"
-    )
-    return f"if({text} rlike {quoted}, {walk}, cast(array() as array<struct<s:int,e:int,t:string>>))"
+    found, between, size = f"regexp_extract_all({text}, {quoted}, 0)", f"split({text}, {quoted}, -1)", f"regexp_extract_all({text}, {quoted}, {group})"
+    ends = running("zip_with(slice(q.b, 1, size(q.m)), q.m, (x, y) -> length(x) + length(y))", _ADD)
+    every = f"zip_with({ends}, q.m, (z, y) -> struct(z - length(y) as s, z as e, y as t))"
+    long = f"filter(zip_with({every}, q.g, (x, y) -> if(length(y) >= {least}, x, null)), x -> x is not null)"
+    return f"if({text} rlike {quoted}, transform(array(struct({found} as m, {between} as b, {size} as g)), q -> {long})[0], {_NONE})"
+
+
+def apart(tokens: str, others: str) -> str:
+    """SQL for those of tokens, an array of (s, e, t), that overlap none of others, an array with s and e.
+
+    Both in one order: a token is clear of what starts before it if the largest end so far is not behind its start, and of what
+    starts later if the smallest start from there on is not before its end."""
+    every = f"array_sort(concat(transform({others}, x -> struct(x.s as s, x.e as e, 1 as o, '' as t)), transform({tokens}, x -> struct(x.s as s, x.e as e, 0 as o, x.t as t))))"
+    before = running("transform(r.v, x -> if(x.o = 1, x.e, -1))", lambda a, b: f"greatest({a}, {b})")
+    after = f"reverse({running('reverse(transform(r.v, x -> if(x.o = 1, x.s, 2147483647)))', lambda a, b: f'least({a}, {b})')})"
+    kept = "filter(transform(u.v, (x, k) -> if(x.o = 0 and u.b[k] <= x.s and u.a[k] >= x.e, struct(x.s as s, x.e as e, x.t as t), null)), x -> x is not null)"
+    return f"if(size({others}) = 0 or size({tokens}) = 0, {tokens}, transform(transform(array(struct({every} as v)), r -> struct(r.v as v, {before} as b, {after} as a)), u -> {kept})[0])"
 
 
 def _normal_tail(z: str) -> str:
@@ -74,7 +87,7 @@ def _alphabet(token: str) -> str:
     """SQL for the alphabet that a token's characters tell."""
     return (
         f"case when {token} rlike '^[0-9a-f]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['hex']}' when {token} rlike '^[0-9A-F]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['HEX']}' "
-        f"when {token} rlike '^[A-Z2-7]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['base32']}' when {token} rlike '^[a-z]+$' then '{_ALPHABETS['lower']}' "
+        f"when {token} rlike '^[A-Z2-7]+$' and {token} rlike '[0-9]' then '{_ALPHABETS['base32']}' when {token} rlike '^[a-z]+$' then '{_ALPHABETS['lower']}' when {token} rlike '^[A-Z]+$' then '{_ALPHABETS['upper']}' "
         f"when {token} rlike '^[A-Za-z0-9]+$' then '{_ALPHABETS['alnum']}' else '{_ALPHABETS['base64']}' end"
     )
 
@@ -113,12 +126,12 @@ def _span(place: int, kind: str):
 def fit_chain(texts: DataFrame) -> str:
     """SQL for an array with the logarithms of the chain's chances: of a character (column) after another (row; the last is the start).
 
-    texts has one column, text. Counts of letter pairs are all that is gathered; each starts at one, so that without texts all are alike."""
-    share = min(1.0, FIT_TEXTS / max(1, texts.count()))
-    some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.substring("text", 1, FIT_CHARS).alias("text")).distinct()
-    words = some.select(F.explode(F.expr("regexp_extract_all(text, '(?<![A-Za-z0-9+/_-])[A-Za-z]{2,}(?![A-Za-z0-9+/_-])', 0)")).alias("w")).select(F.lower("w").alias("w"))
-    pairs = words.select(F.explode(F.expr("transform(sequence(1, length(w) - 1), i -> substring(w, i, 2))")).alias("pair"))
-    seen = {r.pair: r.n for r in pairs.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    texts has one column, text. All words of all texts count, each as often as it occurs; counts of letter pairs are all that is
+    gathered. Each count starts at one, so that without texts all are alike."""
+    words = texts.select(F.explode(F.expr("regexp_extract_all(text, '(?<![A-Za-z0-9+/_-])[A-Za-z]{2,}(?![A-Za-z0-9+/_-])', 0)")).alias("w")).select(F.lower("w").alias("w"))
+    words = words.groupBy("w").agg(F.count("*").alias("n"))
+    pairs = words.select("n", F.explode(F.expr("transform(sequence(1, length(w) - 1), i -> substring(w, i, 2))")).alias("pair"))
+    seen = {r.pair: r.n for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()}  # 676 rows at most
     letters = _CLASSES[0]
     after = {x: 26 + sum(seen.get(x + y, 0) for y in letters) for x in letters}
     out = []
@@ -155,21 +168,19 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans of kind 'random' that the battery adds where no base span lies). Starts and ends are code points, ends exclusive.
 
     A null text is empty. Repeated rows are scanned each for itself; null ids stay null; an empty table gives an empty
-    result; other columns are not read. Whole texts are scanned where they lie: the candidates' hashes and a bounded
-    sample of texts' beginnings are shuffled.
+    result; other columns are not read. Whole texts are scanned where they lie: words with their counts and the candidates'
+    hashes are all that is shuffled. The work of a row is about in proportion to its text and its matches.
     """
     base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    rows = base
-    for o, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
-        found = F.expr(spans("__text", pattern, group, least))
-        rows = rows.withColumn(f"__{kind}", F.transform(found, _span(o, kind)))
-    rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(f"__{k}") for k in PATTERNS]))).withColumn("__tokens", F.expr(spans("__text", TOKEN, 0, LEAST)))
-    rows = rows.select("__id", "base", F.expr("filter(__tokens, t -> not exists(base, b -> b.s < t.e and t.s < b.e))").alias("__tokens"))
+    kinds = [F.transform(F.expr(spans("__text", pattern, group, least)), _span(o, kind)) for o, (kind, (pattern, group, least)) in enumerate(PATTERNS.items())]
+    once = lambda df, **columns: df.select("__id", F.inline(F.array(F.struct(*[x.alias(c) for c, x in columns.items()]))))  # noqa: E731, what inline() makes is never made again
+    rows = once(base, base=F.array_sort(F.concat(*kinds)), tokens=F.expr(spans("__text", TOKEN, 0, LEAST)))
+    rows = once(rows, base=F.col("base"), tokens=F.expr(apart("tokens", "base")))
     chain = fit_chain(base.select(F.col("__text").alias("text")))
-    rows = rows.withColumn("__tokens", F.expr(f"transform(__tokens, t -> struct(t.s as s, t.e as e, t.t as t, {surprise('t.t', chain)} as step))"))
-    distinct = rows.select(F.explode("__tokens").alias("t")).select(F.xxhash64("t.t").alias("token"), F.col("t.step").alias("step")).distinct()
+    rows = once(rows, base=F.col("base"), tokens=F.expr(f"transform(tokens, t -> struct(t.s as s, t.e as e, t.t as t, {surprise('t.t', chain)} as step))"))
+    distinct = rows.select(F.explode("tokens").alias("t")).select(F.xxhash64("t.t").alias("token"), F.col("t.step").alias("step")).distinct()
     least = least_step({r.step: r.n for r in distinct.groupBy("step").agg(F.count("*").alias("n")).collect()}, rate)  # MOST + 1 rows
     if least is None:
         return rows.select(F.col("__id").alias(id_col), "base", F.col("base").alias("spans"))
-    more = rows.withColumn("__random", F.transform(F.expr(f"filter(__tokens, t -> t.step >= {least})"), _span(len(PATTERNS), "random")))
-    return more.select(F.col("__id").alias(id_col), "base", F.array_sort(F.concat("base", "__random")).alias("spans"))
+    random = F.transform(F.expr(f"filter(tokens, t -> t.step >= {least})"), _span(len(PATTERNS), "random"))
+    return rows.select(F.col("__id").alias(id_col), "base", F.array_sort(F.concat("base", random)).alias("spans"))
