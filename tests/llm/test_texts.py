@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm import line_dedup as lines
 from wakeline.llm.common import hash_words
-from wakeline.llm.jaccard_join import jaccard_join, prefix_depth, similar
+from wakeline.llm.jaccard_join import RECALL, TREES, jaccard_join, prefix_depth, similar, spare_trees
 from wakeline.llm.line_dedup import line_dedup
 from wakeline.llm.substring_dedup import substring_dedup
 
@@ -143,8 +143,22 @@ def test_jaccard_join_with_large_clusters_in_blocks(spark, words):
 
 def test_prefixes_shorten_until_the_recall_is_met():
     depth = prefix_depth(0.8)
-    assert 1 - (1 - 0.8**depth) ** 24 >= 0.999 > 1 - (1 - 0.8 ** (depth + 1)) ** 24
+    assert (1 - 0.8**depth) ** TREES <= 1 - RECALL < (1 - 0.8 ** (depth + 1)) ** TREES
     assert prefix_depth(0.99) == 8 and prefix_depth(0.1) == 1
+    n = spare_trees(0.8, depth)
+    missed = lambda n: (1 - 0.8**depth) ** (TREES - n) * (1 - 0.8 ** (depth + 1)) ** n
+    assert 0 < n < TREES and missed(n) <= 1 - RECALL < missed(n + 1)
+
+
+def test_recall_over_many_pairs_right_at_the_threshold(spark, words):
+    texts = []
+    for i in range(400):
+        w = [f"{x}{i}" for x in words(84)]
+        texts += [" ".join(w[:76]), " ".join(w[:4] + w[4 : 68]), " ".join(w[8:84])]
+    want = jaccard_classes(list(enumerate(texts)))
+    got = {r.doc_id: tuple(r)[1:] for r in jaccard_join(table(spark, texts)).collect()}
+    links = sum(x[1] for x in want.values())
+    assert links > 800 and sum(x[1] for x in got.values()) >= 0.999 * links
 
 
 def test_pairs_right_at_the_threshold():

@@ -1,26 +1,31 @@
 """Jaccard join of texts on word shingles, by a MinHash LSH forest with exact verification.
 
-Every text has a signature in each of TREES prefix trees. Labels in a tree are DEPTH small hashes at most; texts
-meet where a prefix of their labels is equal, which in the sorted labels of a tree is one run. The prefix is
-shortened from the full depth until a pair right at the threshold meets in some tree with the target recall.
+Every text has a label, a sequence of MinHash values, in each of TREES prefix trees. Texts with an equal prefix are a run of
+the tree's sorted labels, a node of its trie. All start with a prefix one longer than the one with which a pair right at
+the threshold is sure to be met; how far it is shortened depends on the runs: a text may keep the long prefix in so many
+trees as the target recall allows, does so where its runs are largest, and a run is shortened if any of its texts asks for
+that. So every text reaches the recall with as few, as small runs as the data allow.
 
-Texts with equal shingle sets are one node. What meets forms clusters; the shingle sets of a cluster come together
-once and all pairs in it are verified exactly, as matrix products. A large cluster is dealt to blocks and each pair
-of blocks is a task. Tasks return link counts and spanning links, never the pairs.
+Texts with equal shingle sets are one node. The sets of a run come together and all pairs in it that no run of an earlier
+tree has are verified exactly, as matrix products. A run whose texts all share a run in an earlier tree is left out. A large
+run is dealt to blocks (by texts and by shingles) and each pair of blocks is a task. Tasks return link counts and spanning
+links, never the pairs; only verified links make classes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, buffers, durable, grouped, hash_words, mix, window_hashes
-from .components import components
+from .common import binary_array, broadcast_if_small, buffers, discard, durable, grouped, hash_words, mix, window_hashes
+from .components import components, spread_join
 from .embedding_dedup import roots
 
-TREES, DEPTH, RECALL = 24, 8, 0.999
+TREES, DEPTH, RECALL = 36, 8, 0.999_999
+#: Shingles of a task, and of a block of a large run.
+PACK_SHINGLES, BLOCK_SHINGLES = 1 << 19, 1 << 20
 MOST_TASKS = 50_000
 _FOUND = "node long, n_links long, n_texts long, root long"
 
@@ -32,6 +37,14 @@ def prefix_depth(threshold: float, trees: int = TREES, depth: int = DEPTH, recal
     return depth
 
 
+def spare_trees(threshold: float, depth: int, trees: int = TREES, recall: float = RECALL) -> int:
+    """In how many trees a text may keep a prefix of depth + 1 and still meet a pair at the threshold with the target recall."""
+    n = 0
+    while n < trees and 1 - (1 - threshold**depth) ** (trees - n - 1) * (1 - threshold ** (depth + 1)) ** (n + 1) >= recall:
+        n += 1
+    return n
+
+
 def shingle_sets(texts: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of all texts end to end, sorted for each text, and the bounds of each text.
 
@@ -68,11 +81,11 @@ def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(shingles: np.ndarray, bounds: np.ndarray, depth: int, trees: int) -> np.ndarray:
-    """For each text (a row, with shingles) the hash of its label's prefix in each tree."""
+    """For each text (a row, with shingles) and each tree the hashes of its label's prefixes of depth and of depth + 1."""
     size = np.diff(bounds)
     rows = np.flatnonzero(size > 0)
-    out = np.zeros((len(rows), trees), np.uint64)
-    odd, turn = _seeds(trees * depth)
+    out = np.zeros((len(rows), 2, trees), np.uint64)
+    odd, turn = _seeds(trees * (depth + 1))
     at = 0
     while at < len(rows):
         end = max(at + 1, int(np.searchsorted(bounds[rows + 1], bounds[rows[at]] + (1 << 15), side="right")))
@@ -80,10 +93,12 @@ def prefixes(shingles: np.ndarray, bounds: np.ndarray, depth: int, trees: int) -
         starts = bounds[rows[at:end]] - bounds[rows[at]]
         for t in range(trees):
             key = np.full(end - at, t + 1, np.uint64)
-            for k in range(t * depth, t * depth + depth):
-                low = np.minimum.reduceat((part ^ turn[k]) * odd[k], starts)
+            for k in range(depth + 1):
+                s = t * (depth + 1) + k
+                low = np.minimum.reduceat((part ^ turn[s]) * odd[s], starts)
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + (low >> np.uint64(8)))
-            out[at:end, t] = key
+                if k >= depth - 1:
+                    out[at:end, k - depth + 1, t] = key
         at = end
     return out
 
@@ -102,9 +117,18 @@ def _sketch(batches, width: int, depth: int, trees: int):
             at[full] = np.arange(len(full))
             where = np.maximum(at, 0)
             nodes = pa.array(node[where] if len(full) else np.zeros(len(batch), np.int64), mask=at < 0)
-            ends = np.concatenate([[0], np.cumsum((at >= 0) * trees)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, lists], ["id", "rid", "node", "keys"])
+            ends = pa.array(np.concatenate([[0], np.cumsum((at >= 0) * trees)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(keys[:, i].ravel())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, pa.array(size), *lists], ["id", "rid", "node", "size", "keys", "longer"])
+
+
+def _sets(batches, width: int):
+    """Of each text its sorted shingle hashes as bytes."""
+    for whole in batches:
+        for lo in range(0, len(whole), 256):
+            batch = whole.slice(lo, 256)
+            w, bounds = shingle_sets(pa.chunked_array([batch.column(1)]), width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(w, bounds)], ["node", "shingles"])
 
 
 def _common(rows: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -142,32 +166,42 @@ def similar(same: np.ndarray, rows: np.ndarray, others: np.ndarray, threshold: f
     return same.astype(np.float64) * (1 + threshold) >= threshold * both - 1e-9 * both
 
 
-def _verify(key, rows: pa.Table, width: int, threshold: float) -> pa.Table:
-    w, bounds = shingle_sets(rows.column("text"), width)
-    node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
-    cluster, block = rows.column("cluster").to_numpy(), rows.column("block").to_numpy()
-    first, second = rows.column("first").to_numpy(), rows.column("second").to_numpy()
-    order = np.lexsort((node, second, first, cluster))
-    mark = np.stack([cluster, first, second])[:, order]
+def _met_before(slots: np.ndarray, p: np.ndarray, q: np.ndarray, tree: int) -> np.ndarray:
+    """Which pairs of p and q share a run in an earlier tree; slots: each row's runs by tree, 0 where it has none."""
+    out = np.zeros((len(p), len(q)), bool)
+    for t in range(tree):
+        a, b = slots[p, t], slots[q, t]
+        if a.any() and b.any():
+            out |= (a[:, None] == b[None, :]) & (a != 0)[:, None]
+    return out
+
+
+def _verify(key, rows: pa.Table, threshold: float) -> pa.Table:
+    get = lambda c: rows.column(c).to_numpy()
+    node, copies, run, tree, block, first, second = map(get, ("node", "copies", "run", "tree", "block", "first", "second"))
+    slots = rows.column("slots").combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+    shingles = rows.column("shingles")
+    order = np.lexsort((node, second, first, run))
+    mark = np.stack([run, first, second])[:, order]
     cuts = np.concatenate([[0], np.flatnonzero((mark[:, 1:] != mark[:, :-1]).any(0)) + 1, [len(order)]])
     out = []
     for a, b in zip(cuts[:-1], cuts[1:]):
         at = order[a:b]
-        at = at[np.concatenate([[True], node[at][1:] != node[at][:-1]])]  # rows alike in id and text come more than once
-        sets = [w[bounds[i] : bounds[i + 1]] for i in at]
+        sets = [np.frombuffer(shingles[int(i)].as_buffer(), np.uint64) for i in at]
         size, m = np.array([len(x) for x in sets], np.float64), copies[at]
         if first[at[0]] == second[at[0]]:
             p = q = np.arange(len(at))
-            same = _common(sets)
         else:
             p, q = np.flatnonzero(block[at] == first[at[0]]), np.flatnonzero(block[at] == second[at[0]])
             if not len(p) or not len(q):
                 continue
-            same = _common([sets[i] for i in p], [sets[i] for i in q])
-        hit = similar(same, size[p], size[q], threshold)
+        new = ~_met_before(slots[at], p, q, int(tree[at[0]]))
         if p is q:
-            np.fill_diagonal(hit, False)
-        i, j = np.nonzero(hit)
+            np.fill_diagonal(new, False)
+        if not new.any():
+            continue
+        same = _common(sets) if p is q else _common([sets[i] for i in p], [sets[i] for i in q])
+        i, j = np.nonzero(similar(same, size[p], size[q], threshold) & new)
         i, j = p[i], q[j]
         links, texts = np.bincount(i, m[j], len(at)), np.bincount(i, minlength=len(at))
         if p is not q:
@@ -179,6 +213,31 @@ def _verify(key, rows: pa.Table, width: int, threshold: float) -> pa.Table:
     return pa.table(dict(zip(("node", "n_links", "n_texts", "root"), cols)))
 
 
+def forest_runs(nodes: DataFrame, threshold: float, depth: int) -> DataFrame:
+    """node, copies, size, tree, run, slots (its runs by tree, 0 for none) for each run that has pairs no earlier tree's run has.
+
+    nodes has node, copies, size, keys and longer (hashes of the prefixes of depth and depth + 1 in each tree)."""
+    places = nodes.select("node", F.posexplode(F.arrays_zip("keys", "longer")).alias("tree", "x")).select("node", "tree", F.col("x.keys").alias("key"), F.col("x.longer").alias("longer"))
+    short = durable(places.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    met = durable(places.join(broadcast_if_small(short, short.count(), 16), "key"))
+    rows = met.count()
+    largest = Window.partitionBy("node").orderBy(F.desc("n"), "key")  # TREES rows at most
+    asked = met.withColumn("keeps", F.row_number().over(largest) <= spare_trees(threshold, depth))
+    kept = asked.groupBy("key").agg(F.min("keeps").alias("keeps"), F.count("*").alias("n"))
+    runs = durable(spread_join(met.drop("n"), kept, "key", "node", rows).select("node", "tree", F.when(F.col("keeps"), F.col("longer")).otherwise(F.col("key")).alias("run")))
+    discard(met, short)
+    alone = runs.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1")
+    runs_met = durable(spread_join(runs, alone, "run", "node", rows))
+    slots = runs_met.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("tree", "run"))).alias("of"))
+    slots = slots.select("node", F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("of", t), F.lit(0).cast("long"))).alias("slots"))
+    members = durable(runs_met.join(slots, "node").join(nodes.select("node", "copies", "size"), "node"))
+    same = [F.when((F.min(F.col("slots")[t]) == F.max(F.col("slots")[t])) & (F.min(F.col("slots")[t]) != 0), t) for t in range(TREES)]
+    first = members.groupBy("run").agg(F.least(*same).alias("first"), F.min("tree").alias("at"), F.count("*").alias("n")).filter("first = at").select("run", "n")
+    out = durable(spread_join(members, first, "run", "node", rows))
+    discard(runs, runs_met, members)
+    return out
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, block_texts: int = 1024) -> DataFrame:
     """Per row: id, class_id, n_links, n_texts, kept.
 
@@ -192,29 +251,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     depth = prefix_depth(threshold)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("rid", F.xxhash64("id", "text"))
-    sketch = base.select("id", "rid", "text").mapInArrow(lambda x: _sketch(x, width, depth, TREES), "id long, rid long, node long, keys array<long>")
+    sketch = base.select("id", "rid", "text").mapInArrow(lambda x: _sketch(x, width, depth, TREES), "id long, rid long, node long, size long, keys array<long>, longer array<long>")
     sketch = durable(sketch.dropDuplicates(["rid"]))
-    nodes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min_by("rid", F.struct(F.col("id").isNull(), "id", "rid")).alias("rid"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    nodes = sketch.filter("node is not null").groupBy("node").agg(
+        F.min("id").alias("id"), F.min_by("rid", F.struct(F.col("id").isNull(), "id", "rid")).alias("rid"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("longer").alias("longer")
+    )
     nodes = durable(nodes)
-    places = nodes.select("node", F.explode("keys").alias("key"))
-    runs = places.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    meet = places.join(runs, "key").filter("node <> least").select("node", "least").distinct()
-    clusters = components(meet, "node", "least")
-    members = durable(clusters.select("node", F.col("component").alias("cluster")).join(nodes.select("node", "rid", "copies"), "node"))
-    found = members.count()
-    blocks = durable(members.groupBy("cluster").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block_texts).cast("int").alias("blocks")))
-    copies = blocks.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0  # rows that are dealt
-    blocks = blocks.drop("n")
-    dealt = members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    members = forest_runs(nodes, threshold, depth)
+    wanted = durable(members.select("node").distinct().join(nodes.select("node", "rid"), "node"))
+    texts = base.select("rid", "text").join(broadcast_if_small(wanted, wanted.count(), 32), "rid").dropDuplicates(["node"])  # rows alike in id and text come more than once
+    sets = durable(texts.select("node", "text").mapInArrow(lambda x: _sets(x, width), "node long, shingles binary"))
+    sizes = members.groupBy("run").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.count("*") / block_texts), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    dealt = spread_join(members, sizes, "run", "node", members.count()).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
-    packs = max(1, found // 256)
-    dealt = dealt.withColumn("pack", F.expr(f"if(blocks = 1, pmod(xxhash64(cluster), {packs}), xxhash64(cluster, first, second))")).drop("other", "blocks")
-    texts = base.select("rid", "text").join(broadcast_if_small(dealt, copies, 96), "rid")
+    dealt = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")}).drop("other")
+    dealt = durable(dealt)
+    copies, shingles = dealt.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    packs = max(1, shingles // PACK_SHINGLES)
+    dealt = dealt.withColumn("pack", F.expr(f"if(blocks = 1, pmod(xxhash64(run), {packs}), xxhash64(run, first, second))")).drop("blocks", "size")
     tasks = min(MOST_TASKS, packs + members.sparkSession.sparkContext.defaultParallelism)
-    texts = texts.select("pack", "cluster", "first", "second", "block", "node", "copies", "text").repartition(tasks, "pack")  # work is not in proportion to bytes
-    linked = texts.groupBy("pack").applyInArrow(grouped(_verify, width=width, threshold=threshold), _FOUND)
-    linked = durable(linked)
+    joined = sets.join(broadcast_if_small(dealt, copies, 320, 64), "node").repartition(tasks, "pack")  # work is not in proportion to bytes
+    linked = durable(joined.groupBy("pack").applyInArrow(grouped(_verify, threshold=threshold), _FOUND))
+    discard(members, wanted, sets)
     counts = linked.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("n_texts").alias("n_texts"))
     parts = components(linked, "node", "root")
     classes = nodes.select("node", "id", "copies").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
