@@ -308,7 +308,69 @@ def test_pages(spark, main):
     rows = [(i, f"https://{'one' if i < 6 else 'two'}.example.org/{i}", PAGE.format(main=main, i=i).replace(f"</{main}>", f"</{main.split()[0]}>")) for i in range(8)]
     got = {r.page_id: r for r in pages.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert {i: r.text for i, r in got.items()} == {i: truth(i) for i in range(8)}
-    assert got[0].slot and got[7].slot is None
+    assert all(r.slot for r in got.values())
+
+
+@pytest.mark.parametrize("mark", ['class="post comments-open"', 'title="the hidden valley"', 'data-id="comment-count-7"', 'class="share-price-table"', 'id="advice"', "data-hidden=no class='news-letters'"])
+def test_names_that_only_look_like_no_article(mark):
+    assert pages.extract(f"<body><article><div {mark}><p>kept</p></div></article></body>")[0] == "kept"
+    assert pages.extract(f"<body><div {mark}><h1>T</h1><p>kept</p></div></body>")[0] == "T\n\nkept"
+
+
+@pytest.mark.parametrize("mark", ['class="cookie-notice"', 'class="siteFooter"', "id=comments", "hidden", 'role="navigation"', 'class="x sidebar-left"', "class='related-posts'"])
+def test_names_that_are_no_article(mark):
+    assert pages.extract(f"<body><article><p>kept</p><div {mark}><p>gone</p></div></article></body>")[0] == "kept"
+
+
+def test_a_named_container_around_the_only_article():
+    assert pages.extract("<div class='sidebar-right'><article><p>a</p></article></div>")[0] == "a"
+    assert pages.extract("<article><p>a</p></article><div class=comments><article><p>b</p></article></div>")[0] == "a"
+
+
+def test_all_slots_of_nested_and_of_plain_markup(spark):
+    nested = "<body><nav><p>n{0}</p></nav><article><div class=title><h1>T{0}</h1></div><div class=body><p>one {0}</p></div><p class=n>Read our letters</p><div class=more><p>two {0}</p></div></article></body>"
+    plain = "<body><div class=top>The Daily</div><div class=head><h1>T{0}</h1></div><div class=text><p>Some long text of page {0}</p><p>More long text of {0}</p></div><div class=end>All rights reserved by us, all of them and for ever</div></body>"
+    rows = [(i, f"http://{'n' if i < 5 else 'p'}/{i}", (nested if i < 5 else plain).format(i)) for i in range(10)]
+    got = {r.page_id: r for r in pages.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert got[i].text == f"T{i}\n\none {i}\n\nRead our letters\n\ntwo {i}" and got[i].slot == "body>article"
+        assert got[i + 5].text == f"T{i + 5}\n\nSome long text of page {i + 5}\n\nMore long text of {i + 5}" and got[i + 5].slot == "body"
+    copies = spark.createDataFrame([(i, "http://c/1", nested.format(1)) for i in range(9)], "page_id long, url string, html string")
+    assert {r.text for r in pages.html_extract(copies).collect()} == {"T1\n\none 1\n\nRead our letters\n\ntwo 1"}
+
+
+def test_templates_against_brute_force(spark):
+    rng = random.Random(18)
+    fixed = [f"fixed {i}" for i in range(8)]
+    rows = []
+    for i in range(60):
+        parts = [f for f in fixed if rng.random() < (0.95 if f < "fixed 5" else 0.4)]
+        if rng.random() < 0.2:
+            parts = parts[::-1]
+        for _ in range(6):
+            parts.insert(rng.randint(0, len(parts)), f"own {i} {rng.random()}")
+        rows.append((i, f"http://h{i % 4}/", "<body>" + "".join(f"<p>{x}</p>" for x in parts)))
+    got = {r.page_id: r.text.split("\n\n") for r in pages.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, url, page in rows:
+        mine = re.findall("<p>(.*?)</p>", page)
+        host = [re.findall("<p>(.*?)</p>", x) for _, u, x in rows if u == url]
+        often = {t for t in mine if sum(t in x for x in host) >= max(3, len(host) / 2)}
+        assert [x for x in mine if x not in often] == [x for x in got[i] if x not in often]
+        place = {t: sum(x.index(t) / (2 + len(x)) for x in host if t in x) / sum(t in x for x in host) for t in often}
+        at = [(place[t], t) for t in mine if t in often]
+        best = [1] * len(at)
+        for k in range(len(at)):
+            best[k] = 1 + max([best[j] for j in range(k) if at[j] < at[k]], default=0)
+        assert len(mine) - len(got[i]) == max(best, default=0)
+
+
+def test_memory_of_deep_nesting_is_in_proportion():
+    import tracemalloc
+
+    tracemalloc.start()
+    assert pages.extract("<div>" * 20_000 + "deep")[0] == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
 
 
 def test_pages_by_the_generator(spark, sf):

@@ -270,7 +270,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     packs = max(1, shingles // PACK_SHINGLES)
     dealt = dealt.withColumn("pack", F.expr(f"if(blocks = 1, pmod(xxhash64(run), {packs}), xxhash64(run, first, second))")).drop("blocks", "size")
     tasks = min(MOST_TASKS, packs + members.sparkSession.sparkContext.defaultParallelism)
-    joined = sets.join(broadcast_if_small(dealt, copies, 320, 64), "node").repartition(tasks, "pack")  # work is not in proportion to bytes
+    joined = sets.join(broadcast_if_small(dealt, copies, 500), "node").repartition(tasks, "pack")  # work is not in proportion to bytes
     linked = durable(joined.groupBy("pack").applyInArrow(grouped(_verify, threshold=threshold), _FOUND))
     discard(members, wanted, sets)
     counts = linked.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("n_texts").alias("n_texts"))
