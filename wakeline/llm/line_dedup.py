@@ -118,5 +118,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     count = F.coalesce(F.expr(f"cast(size(filter(__lines, x -> {_normal('x')} <> '')) as long)"), F.lit(0).cast("long"))
     text = F.when(F.size("__gone") > 0, kept).otherwise(F.col("__text"))
     added = {"lines_in": count, "lines_removed": F.size("__gone").cast("long")}
-    every = [(added.get(c) if c in added else text if c == text_col else F.col(n)).alias(c) for c, n in zip(docs.columns, names)]
-    return out.select(*every, *[x.alias(c) for c, x in added.items() if c not in docs.columns])
+    every = [(added[c.lower()] if c.lower() in added else text if c == text_col else F.col(n)).alias(c) for c, n in zip(docs.columns, names)]
+    return out.select(*every, *[x.alias(c) for c, x in added.items() if c not in map(str.lower, docs.columns)])

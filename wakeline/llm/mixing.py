@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, durable
+from .common import broadcast_if_small, clear_of, durable
 
 ADDED = ("mix_source", "mix_tokens", "mix_block", "mix_weight", "mix_passes", "mix_copies")
 ROUNDS, LEVELS = 5, 6
@@ -69,11 +69,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the limit on repeats holds for the one that is taken most. Texts are not shuffled: where the partial pass of each source ends, a block and a
     place in it, is all that the rows need.
     """
-    kept = [c for c in docs.columns if c not in ADDED]
-    marked = docs.select(*kept).withColumns({
-        "mix_source": F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")),
-        "mix_tokens": count_tokens(F.col(text_col).cast("string")),
-        "__id": F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
+    cleared, names = clear_of(docs.select(*[F.col(f"`{c}`") for c in kept]))
+    of = dict(zip(kept, names))
+    marked = cleared.withColumns({
+        "mix_source": F.coalesce(F.concat(F.lit("="), F.col(of[source_col]).cast("string")), F.lit("")),
+        "mix_tokens": count_tokens(F.col(of[text_col]).cast("string")),
+        "__id": F.coalesce(F.col(of[id_col]).cast("string"), F.lit("")),
     })
     rows = durable(marked.select("mix_source", "mix_tokens", "__id"))
     sources = durable(rows.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens")))
@@ -117,4 +119,4 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken = F.when(F.col("room") > 0, taken).otherwise(0)
     out = out.withColumn("mix_copies", (F.col("mix_passes") + taken).cast("long"))
     out = out.withColumn("mix_source", F.expr("if(mix_source = '', null, substr(mix_source, 2))"))
-    return out.select(*kept, *ADDED)
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, kept)], *ADDED)
