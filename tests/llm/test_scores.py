@@ -60,12 +60,54 @@ def test_the_index_finds_the_nearest():
     index = toxicity.BlockMaxIndex(vectors, 16)
     for q in [unit() for _ in range(60)]:
         exact = sorted(((-sum(x * v.get(t, 0) for t, x in q.items()), i) for i, v in enumerate(vectors)))
-        got = index.nearest(q, 10, but=exact[0][1])
+        got = index.nearest(q, 10, but=[exact[0][1]])
         want = [(-s, i) for s, i in exact[1:] if s < 0][:10]
         assert [i for _, i in got] == [i for _, i in want]
         assert all(abs(a - b) < 1e-9 for (a, _), (b, _) in zip(got, want))
 
 
+def test_toxicity_scores_by_brute_force(spark, words):
+    import numpy as np
+
+    rows, labels = toxic_corpus(words, 240)
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 40, 2)] + [(2000, None), (2001, "")]  # copies of examples
+    learnt = {i: y for i, y in labels if i % 4}
+    got = {r.doc_id: r.score for r in toxicity.toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(learnt.items()), "doc_id long, toxic int")).collect()}
+    bag = {i: collections.Counter(t for w in re.findall(r"\w+", (x or "").lower()) for t in toxicity.word_terms(w)) for i, x in rows}
+    text = dict(rows)
+    toxic, clean = [i for i in learnt if learnt[i]], [i for i in learnt if not learnt[i]]
+
+    def ratio(t):
+        table = np.array([[sum(t in bag[i] for i in s), sum(t not in bag[i] for i in s)] for s in (toxic, clean)], float)
+        if table[0, 0] / len(toxic) <= table[1, 0] / len(clean):
+            return 0
+        share = (table[0, 0] + table[1, 0]) / len(learnt)
+        return 2 * sum(n * math.log(n / (len(s) * share)) for n, s in zip(table[:, 0], (toxic, clean)) if n)
+
+    terms = sorted(t for t in {t for i in toxic for t in bag[i]} if ratio(t) >= toxicity.LEAST_GAIN)
+    idf = {t: math.log((1 + len(rows)) / (1 + sum(t in b for b in bag.values()))) + 1 for t in terms}
+
+    def vector(i):
+        v = np.array([(1 + math.log(bag[i][t])) * idf[t] if bag[i][t] else 0.0 for t in terms])
+        return v / (np.linalg.norm(v) or 1)
+
+    rate = (len(toxic) + 0.5) / (len(learnt) + 1)
+    some = sorted((i for i in learnt if vector(i).any()), key=lambda i: ([k for k, t in enumerate(terms) if bag[i][t]], [bag[i][t] for t in terms if bag[i][t]], i))
+
+    def vote(i):
+        near = sorted(((-round(float(vector(i) @ vector(j)), 12), k, j) for k, j in enumerate(some) if text[j] != text[i]))
+        near = [(-s, j) for s, _, j in near if s < 0][: toxicity.NEIGHBOURS]
+        w = [1 / (1.05 - s) for s, _ in near]
+        return (sum(x for x, (_, j) in zip(w, near) if learnt[j]) + toxicity.PRIOR_VOTES * rate) / (sum(w) + toxicity.PRIOR_VOTES)
+
+    knots = toxicity.isotonic(np.array([vote(i) for i in some]), np.array([learnt[i] for i in some]))
+    rest = [learnt[i] for i in learnt if not vector(i).any()]
+    empty = (sum(rest) + rate) / (len(rest) + 1)
+    assert terms and some
+    for i, _ in rows:
+        assert abs(got[i] - (np.interp(vote(i), *knots) if vector(i).any() else empty)) < 1e-6, i
+
+
 def test_calibration_rises():
     import numpy as np
 
@@ -175,6 +217,10 @@ def test_mixing_on_odd_tables(spark, odd, none):
     rows = mixing.mix_sources(odd, repeats=2.0).collect()
     assert len(rows) == odd.count() and {r.mix_source for r in rows} == {None, "s"}
     assert mixing.mix_sources(none).count() == 0
+    clash = odd.withColumns({c: F.lit("x") for c in ("room", "blocks", "edge", "last", "weight", "turn", "place", "__id", "Passes")})
+    got = mixing.mix_sources(clash, repeats=2.0)
+    assert {tuple(r) for r in got.select("room", "blocks", "edge", "last", "weight", "turn", "place", "__id", "Passes").collect()} == {("x",) * 9}
+    assert sorted(r.mix_copies for r in got.select("mix_copies").collect()) == sorted(r.mix_copies for r in rows)
     empty = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")
     assert [r.mix_copies for r in mixing.mix_sources(empty).collect()] == [1, 1]
 

@@ -1,11 +1,13 @@
 """Toxicity by the nearest labelled texts: exact TF-IDF cosine, found with a block-max inverted index.
 
-Terms are lower-case words and their beginnings. From a bounded sample of the labelled rows come the terms that set
-toxic texts apart (log-likelihood ratio) and the labelled examples; the terms' document frequencies come from all
+Terms are lower-case words and their beginnings. The index's terms are those that set the toxic examples apart from the clean
+ones beyond chance (log-likelihood ratio); over all words of a text the cosine is mostly its subject. Labelled examples are a
+bounded sample of the labelled rows; there is no bound on the terms, and their document frequencies come from all
 documents. A text's vector holds (1 + ln tf) * idf for these terms, at length one. The examples' index keeps postings
 in blocks of BLOCK examples with each block's largest weight, so that most blocks are ruled out unseen, and the
 nearest examples found are exactly the nearest. Their votes, weighted by distance, are mapped to a calibrated score by
-an isotonic fit on the examples themselves, each without its own vote. The neighbours are returned as evidence.
+an isotonic fit on the examples themselves. No text has a vote on itself: examples with the same text are left out, in the
+fit and in the scores. The neighbours are returned as evidence.
 """
 
 from __future__ import annotations
@@ -13,18 +15,21 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of what is fitted: labelled rows (those with the smallest hashes of their ids), and terms.
-MAX_EXAMPLES, MAX_TERMS = 20_000, 4096
-#: A term has to occur in so many toxic examples, as a number and as a share, be so much more frequent in them, and have this log-likelihood ratio.
-LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO, LEAST_GAIN = 3, 0.02, 3.0, 24.0
+from .common import discard, durable
+
+#: The bound on labelled rows that are learnt from (those with the smallest hashes of their ids).
+MAX_EXAMPLES = 20_000
+#: The log-likelihood ratio of a term: chance alone gives as much to one term of a million.
+LEAST_GAIN = 24.0
 NEIGHBOURS, PRIOR_VOTES, BLOCK = 25, 0.5, 32
 _WORD = re.compile(r"\w+")
 _KEPT_WORDS, _KEPT_SCORES = 150_000, 4000
@@ -76,8 +81,8 @@ class BlockMaxIndex:
             self.starts[t] = dict(zip((ids[start] // block).tolist(), zip(start.tolist(), [*start[1:].tolist(), len(ids)])))
             self.most[t] = (ids[start] // block, np.maximum.reduceat(self.weights[t], start))
 
-    def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The k (cosine, index) with the highest cosines above zero, ties to the smaller index; never the index `but`."""
+    def nearest(self, query: dict[int, float], k: int, but: Collection[int] = ()) -> list[tuple[float, int]]:
+        """The k (cosine, index) with the highest cosines above zero, ties to the smaller index; never those of `but`."""
         upper = np.zeros(self.blocks)
         terms = [(t, x) for t, x in query.items() if t in self.ids]
         for t, x in terms:
@@ -92,11 +97,15 @@ class BlockMaxIndex:
                 if (span := self.starts[t].get(b)) is not None:
                     part = slice(*span)
                     score[self.ids[t][part] - b * self.block] += x * self.weights[t][part]
-            best += [(-float(score[i]), b * self.block + int(i)) for i in np.flatnonzero(score > 0) if b * self.block + i != but]
+            best += [(-float(score[i]), b * self.block + int(i)) for i in np.flatnonzero(score > 0) if b * self.block + int(i) not in but]
             best = sorted(best)[:k]
         return [(-s, i) for s, i in best]
 
 
+def fingerprint(text: str) -> bytes:
+    return xxhash.xxh128_digest(text.encode("utf-8", "surrogatepass"))
+
+
 @dataclass
 class Model:
     terms: list[str]
@@ -104,6 +113,7 @@ class Model:
     ids: list[int]
     labels: list[int]
     vectors: list[dict[int, float]]
+    prints: list[bytes]
     empty_rate: float
     base_rate: float
     knots: tuple[list[float], list[float]] = field(default_factory=lambda: ([0.0, 1.0], [0.0, 1.0]))
@@ -112,6 +122,9 @@ class Model:
         self.counter = Terms(self.terms)
         self.index = BlockMaxIndex(self.vectors)
         self.kept: dict = {}
+        self.same: dict[bytes, list[int]] = defaultdict(list)
+        for i, x in enumerate(self.prints):
+            self.same[x].append(i)
         return self
 
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
@@ -119,7 +132,7 @@ class Model:
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()}
 
-    def vote(self, vector: dict[int, float], but: int = -1) -> tuple[float, list[tuple[float, int]]]:
+    def vote(self, vector: dict[int, float], but: Collection[int] = ()) -> tuple[float, list[tuple[float, int]]]:
         near = self.index.nearest(vector, NEIGHBOURS, but)
         weights = [1 / (1.05 - s) for s, _ in near]
         yes = sum(w for w, (_, i) in zip(weights, near) if self.labels[i])
@@ -130,10 +143,11 @@ class Model:
         counts = self.counter.count(text)
         if not counts:
             return self.empty_rate, []
-        key = tuple(sorted(counts.items()))
+        but = self.same.get(fingerprint(text), ())
+        key = (tuple(sorted(counts.items())), tuple(but))
         got = self.kept.get(key)
         if got is None:
-            raw, near = self.vote(self.vector(counts))
+            raw, near = self.vote(self.vector(counts), but)
             got = float(np.interp(raw, *self.knots)), near[:3]
             if len(self.kept) >= _KEPT_SCORES:
                 self.kept.clear()
@@ -183,14 +197,29 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.orderBy(F.xxhash64("id"), "id").limit(MAX_EXAMPLES).collect()
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     if not rows:
-        return Model([], [], [], [], [], 0.0, 0.0)
+        return Model([], [], [], [], [], [], 0.0, 0.0)
     few = F.broadcast(spark.createDataFrame([tuple(r) for r in rows], "id long, y int"))  # MAX_EXAMPLES rows at most
-    texts = base.join(few, "id").select("y", "id", "text")
+    texts = durable(base.join(few, "id").select("y", "id", "text"))
+    model = _fitted(base, texts)
+    discard(texts)
+    return model
+
+
+def gain(a: int, b: int, toxic: int, clean: int) -> float:
+    """The log-likelihood ratio of a term in a of the toxic and b of the clean examples; 0 if it is no more frequent in toxic ones."""
+    if a * clean <= b * toxic:
+        return math.inf if a and not clean else 0.0
+    share = (a + b) / (toxic + clean)
+    return 2 * (a * math.log(a / (toxic * share)) + (b * math.log(b / (clean * share)) if b else 0))
+
+
+def _fitted(base: DataFrame, texts: DataFrame) -> Model:
+    """The model of the examples in texts (y, id, text); base has all documents' texts."""
     sizes = {int(r.y): r.n for r in texts.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     rate = (toxic + 0.5) / (toxic + clean + 1) if toxic + clean else 0.0
     if not toxic:
-        return Model([], [], [], [], [], rate, rate)
+        return Model([], [], [], [], [], [], rate, rate)
 
     def toxic_terms(batches):
         found: Counter = Counter()
@@ -199,44 +228,37 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                 found.update({t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)})
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
 
-    least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * toxic))
+    least = next((a for a in range(1, toxic + 1) if gain(a, 0, toxic, clean) >= LEAST_GAIN), toxic)  # no term in fewer can pass
     counted = texts.filter("y = 1").select("text").mapInArrow(toxic_terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    in_toxic = {r.term: r.n for r in counted.collect()}  # no more than terms a text / LEAST_SHARE
+    in_toxic = {r.term: r.n for r in counted.collect()}  # no more than the terms of MAX_EXAMPLES texts
     names = sorted(in_toxic)
     in_clean = Counter()
     for r in texts.filter("y = 0").select("text").mapInArrow(lambda x: _document_frequencies(x, names), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         if r.term >= 0:
             in_clean[names[r.term]] = r.n
-    gains = []
-    for t, a in in_toxic.items():
-        b = in_clean[t]
-        if (a + 0.5) / (toxic + 1) >= LEAST_RATIO * (b + 0.5) / (clean + 1) or not clean:
-            share = (a + b) / (toxic + clean)
-            gain = 2 * (a * math.log(a / (toxic * share)) + (b * math.log(b / (clean * share)) if b else 0))
-            if gain >= LEAST_GAIN or not clean:
-                gains.append((-gain, t))
-    terms = [t for _, t in sorted(gains)[:MAX_TERMS]]
+    terms = [t for t in names if gain(in_toxic[t], in_clean[t], toxic, clean) >= LEAST_GAIN]
     if not terms:
-        return Model([], [], [], [], [], rate, rate)
+        return Model([], [], [], [], [], [], rate, rate)
     df = Counter({r.term: r.n for r in base.select("text").mapInArrow(lambda x: _document_frequencies(x, terms), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()})
-    model = Model(terms, [math.log((1 + df[-1]) / (1 + df[i])) + 1 for i in range(len(terms))], [], [], [], 0.0, rate)
+    model = Model(terms, [math.log((1 + df[-1]) / (1 + df[i])) + 1 for i in range(len(terms))], [], [], [], [], 0.0, rate)
 
     def examples(batches):
         counter = Terms(terms)
         for batch, part in _texts(batches):
             counts = [sorted(counter.count(x).items()) for x in part]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[t for t, _ in c] for c in counts], pa.list_(pa.int32())), pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))], ["y", "id", "terms", "counts"])
-
-    got = texts.mapInArrow(examples, "y int, id long, terms array<int>, counts array<int>")
-    none = {int(r.y): r.n for r in got.filter("size(terms) = 0").groupBy("y").agg(F.count("*").alias("n")).collect()}
-    model.empty_rate = (none.get(1, 0) + rate) / (sum(none.values()) + 1)
-    some = sorted((r.terms, r.counts, r.id, r.y) for r in got.filter("size(terms) > 0").collect())  # alike examples in one block
-    model.ids, model.labels = [r[2] for r in some], [r[3] for r in some]
+            lists = [pa.array([[x[k] for x in c] for c in counts], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists, pa.array([fingerprint(x) for x in part], pa.binary())], ["y", "id", "terms", "counts", "print"])
+
+    got = texts.mapInArrow(examples, "y int, id long, terms array<int>, counts array<int>, print binary").collect()  # MAX_EXAMPLES rows at most
+    none = Counter(r.y for r in got if not r.terms)
+    model.empty_rate = (none[1] + rate) / (none.total() + 1)
+    some = sorted((r.terms, r.counts, r.id, r.y, bytes(r.print)) for r in got if r.terms)  # alike examples in one block
+    model.ids, model.labels, model.prints = [r[2] for r in some], [r[3] for r in some], [r[4] for r in some]
     model.vectors = [model.vector(dict(zip(r[0], r[1]))) for r in some]
     model.start()
-    raw = np.array([model.vote(v, i)[0] for i, v in enumerate(model.vectors)])  # each without its own vote
+    raw = np.array([model.vote(v, model.same[x])[0] for v, x in zip(model.vectors, model.prints)])
     model.knots = isotonic(raw, np.array(model.labels))
-    for name in ("counter", "index", "kept"):
+    for name in ("counter", "index", "kept", "same"):
         delattr(model, name)
     return model
 
@@ -248,8 +270,7 @@ def toxicity(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
     labelled holds ids and labels (0 or 1) of the rows to learn from; null ids and labels are left out, an id with
     both labels counts as 1. A text without any of the model's terms (a null or empty one too) gets the share of
     toxic rows among examples without any. Without toxic examples all scores are the smoothed base rate; without any
-    examples 0. A score depends on the text alone, so a row that is an example finds itself among its neighbours; the
-    calibration does without such votes. Repeated rows are scored alike; an empty table gives an
+    examples 0. A score depends on the text alone; examples with the very same text have no vote. Repeated rows are scored alike; an empty table gives an
     empty result; other columns are not read. No shuffle of texts: the bounded model goes to each task.
     """
     kind = docs.schema[id_col].dataType.simpleString()
