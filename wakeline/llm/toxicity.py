@@ -28,8 +28,9 @@ from .common import discard, durable
 
 #: The bound on labelled rows that are learnt from (those with the smallest hashes of their ids).
 MAX_EXAMPLES = 20_000
-#: The log-likelihood ratio of a term: chance alone gives as much to one term of a million.
-LEAST_GAIN = 24.0
+#: What sets a term apart, at any size of the sample: a log-likelihood ratio that chance alone gives to one term of a million, and
+#: so many times the clean examples' share of texts. Without the second, words of long texts and of single languages pass.
+LEAST_GAIN, LEAST_RATIO = 24.0, 3.0
 NEIGHBOURS, PRIOR_VOTES, BLOCK = 25, 0.5, 32
 _WORD = re.compile(r"\w+")
 _KEPT_WORDS, _KEPT_SCORES = 150_000, 4000
@@ -75,31 +76,40 @@ class BlockMaxIndex:
                 postings[t].append((i, x))
         self.ids = {t: np.array([i for i, _ in p], np.int64) for t, p in postings.items()}
         self.weights = {t: np.array([x for _, x in p]) for t, p in postings.items()}
-        self.starts, self.most = {}, {}
+        self.at, self.most, self.length = {}, {}, {}
         for t, ids in self.ids.items():
             start = np.flatnonzero(np.diff(ids // block, prepend=-1))
-            self.starts[t] = dict(zip((ids[start] // block).tolist(), zip(start.tolist(), [*start[1:].tolist(), len(ids)])))
-            self.most[t] = (ids[start] // block, np.maximum.reduceat(self.weights[t], start))
+            self.at[t], self.most[t], self.length[t] = ids[start] // block, np.maximum.reduceat(self.weights[t], start), np.diff(np.append(start, len(ids)))
 
     def nearest(self, query: dict[int, float], k: int, but: Collection[int] = ()) -> list[tuple[float, int]]:
-        """The k (cosine, index) with the highest cosines above zero, ties to the smaller index; never those of `but`."""
+        """The k (cosine, index) with the highest cosines above zero, ties to the smaller index; never those of `but`.
+
+        Blocks with the largest bounds are scored first, so many that they hold 4 k examples; the k-th best of these is a limit
+        that rules out all blocks whose bound is below it, and what is left is scored as well."""
         upper = np.zeros(self.blocks)
         terms = [(t, x) for t, x in query.items() if t in self.ids]
         for t, x in terms:
-            at, most = self.most[t]
-            upper[at] += x * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-upper, kind="stable").tolist():
-            if upper[b] <= 0 or len(best) >= k and upper[b] < -best[-1][0] - 1e-12:
-                break
-            score = np.zeros(self.block)
-            for t, x in terms:
-                if (span := self.starts[t].get(b)) is not None:
-                    part = slice(*span)
-                    score[self.ids[t][part] - b * self.block] += x * self.weights[t][part]
-            best += [(-float(score[i]), b * self.block + int(i)) for i in np.flatnonzero(score > 0) if b * self.block + int(i) not in but]
-            best = sorted(best)[:k]
-        return [(-s, i) for s, i in best]
+            upper[self.at[t]] += x * self.most[t]
+        score = np.zeros(self.blocks * self.block)
+        first = -(-(4 * k + len(but)) // self.block)
+        chosen = np.zeros(self.blocks, bool)
+        chosen[np.argpartition(-upper, first)[:first] if first < self.blocks else slice(None)] = True
+        self._add(score, terms, chosen)
+        score[list(but)] = 0
+        limit = np.partition(score, -k)[-k] if k < len(score) else 0.0
+        rest = (upper >= max(limit - 1e-12, 1e-300)) & ~chosen
+        if rest.any():
+            self._add(score, terms, rest)
+            score[list(but)] = 0
+        found = np.flatnonzero(score > 0 if limit <= 0 else score >= limit - 1e-12)
+        return [(float(score[i]), int(i)) for i in found[np.argsort(-score[found], kind="stable")][:k]]
+
+    def _add(self, score: np.ndarray, terms: list[tuple[int, float]], chosen: np.ndarray) -> None:
+        for t, x in terms:
+            keep = chosen[self.at[t]]
+            if keep.any():
+                part = np.repeat(keep, self.length[t])
+                score[self.ids[t][part]] += x * self.weights[t][part]
 
 
 def fingerprint(text: str) -> bytes:
@@ -206,8 +216,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def gain(a: int, b: int, toxic: int, clean: int) -> float:
-    """The log-likelihood ratio of a term in a of the toxic and b of the clean examples; 0 if it is no more frequent in toxic ones."""
-    if a * clean <= b * toxic:
+    """The log-likelihood ratio of a term in a of the toxic and b of the clean examples; 0 if it is not LEAST_RATIO times as frequent in toxic ones."""
+    if a * clean < LEAST_RATIO * b * toxic:
         return math.inf if a and not clean else 0.0
     share = (a + b) / (toxic + clean)
     return 2 * (a * math.log(a / (toxic * share)) + (b * math.log(b / (clean * share)) if b else 0))
