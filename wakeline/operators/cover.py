@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions import grid
+from wakeline.sources.store import staged
 
+#: Open cells of a task, bytes of all shapes up to which they are broadcast, and shapes that a task keeps.
+CELLS_A_TASK, SHAPE_BYTES, KEPT_SHAPES = 256, 32 << 20, 1000
 _PAIR = "array<struct<cell:bigint,ts:bigint>>"
 
 
@@ -88,8 +91,10 @@ def _shape(value) -> list:
 def large_polygon_cover(shapes: DataFrame, key: str, geom: str = "geom", to_zoom: int = 21) -> DataFrame:
     """key, cell, kind ('full' or 'partial') of each shape's cells at zoom 13, 17 or 21, one row a cell.
 
-    Each zoom is a step of its own that deals the open cells over the cluster again; cells inside are sequences that
-    the JVM explodes. No row ever holds more than one cell's descendants, so regions of any size pass."""
+    Each zoom is a step of its own: the open cells are written, dealt over the cluster again by shape and cell, and split
+    where they land; cells inside are sequences that the JVM explodes. A row is a key and a cell. The shapes go to the tasks by
+    a broadcast, if their vertices prove it small, else along with the cells. No row ever holds more than one cell's descendants,
+    so regions of any size pass. Keys tell shapes apart."""
     if to_zoom not in (13, 17, 21):
         raise ValueError("to_zoom is 13, 17 or 21")
 
@@ -106,32 +111,41 @@ def large_polygon_cover(shapes: DataFrame, key: str, geom: str = "geom", to_zoom
         return [grid.lists([g[i] for g in got]) for i in (0, 1)]
 
     base = shapes.select(F.col(key), F.col(geom).alias("__geom"))
-    found = _map(base, "__geom", "full array<bigint>, partial array<bigint>", first)
-    full, partial, zoom = found.select(key, F.explode("full").alias("cell")), found.select(key, "__geom", F.explode("partial").alias("cell")), 13
+    vertices = "aggregate(__geom, 0L, (a, p) -> a + aggregate(p, 0L, (b, r) -> b + size(r)))"
+    size = base.agg(F.coalesce(F.sum(F.expr(vertices)), F.lit(0)) * 24 + F.count("*") * 64).first()[0]
+    found = staged(_map(base, "__geom", "full array<bigint>, partial array<bigint>", first).select(key, "full", "partial"))
+    full, partial, zoom = found.select(key, F.explode("full").alias("cell")), found.select(key, F.explode("partial").alias("cell")), 13
     while zoom < to_zoom:
-        grown = [full.select(key, F.explode(F.expr("sequence(shiftleft(cell, 8), shiftleft(cell, 8) + 255)")).alias("cell"))]
-        partial = _split(partial, key, zoom)
-        grown.append(partial.select(key, F.explode("full").alias("cell")))
-        full, partial, zoom = grown[0].unionAll(grown[1]), partial.select(key, "__geom", F.explode("partial").alias("cell")), zoom + 4
+        grown = full.select(key, F.explode(F.expr("sequence(shiftleft(cell, 8), shiftleft(cell, 8) + 255)")).alias("cell"))
+        tasks = max(base.sparkSession.sparkContext.defaultParallelism, partial.count() // CELLS_A_TASK)
+        if size <= SHAPE_BYTES:
+            dealt = partial.repartition(tasks, key, "cell").join(F.broadcast(base), key)
+        else:
+            dealt = partial.join(base, key).repartition(tasks, key, "cell")
+        split = staged(_split(dealt.select(key, "cell", "__geom"), zoom))
+        full, partial, zoom = grown.unionAll(split.select(key, F.explode("full").alias("cell"))), split.select(key, F.explode("partial").alias("cell")), zoom + 4
     return full.select(key, "cell", F.lit("full").alias("kind")).unionAll(partial.select(key, "cell", F.lit("partial").alias("kind")))
 
 
-def _split(partial: DataFrame, key: str, zoom: int) -> DataFrame:
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in partial.schema]
+def _split(dealt: DataFrame, zoom: int) -> DataFrame:
+    """Of each open cell (key, cell, shape) the cells four zooms deeper that lie inside, and those that are open."""
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema[:2]]
 
     def run(batches):
+        known: dict = {}
         for batch in batches:
-            known: dict = {}
             full, left = [], []
-            for value, cell in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                mark = repr(value)
-                shape = known.get(mark) or known.setdefault(mark, grid.Shape(_shape(value)))
-                a, b = grid.split_cells(shape, zoom, np.zeros(0, np.int64), np.array([cell]), zoom + 4)
+            for i, (key, cell) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if key not in known:
+                    if len(known) >= KEPT_SHAPES:
+                        known.clear()
+                    known[key] = grid.Shape(_shape(batch.column(2)[i].as_py()))
+                a, b = grid.split_cells(known[key], zoom, np.zeros(0, np.int64), np.array([cell]), zoom + 4)
                 full.append(a)
                 left.append(b)
-            yield pa.RecordBatch.from_arrays([*batch.columns, grid.lists(full), grid.lists(left)], [*batch.schema.names, "full", "partial"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], grid.lists(full), grid.lists(left)], [*batch.schema.names[:2], "full", "partial"])
 
-    return partial.mapInArrow(run, ", ".join([*kinds, "full array<bigint>", "partial array<bigint>"]))
+    return dealt.mapInArrow(run, ", ".join([*kinds, "full array<bigint>, partial array<bigint>"]))
 
 
 def flat_polygon_cover(shapes: DataFrame, zoom: int, geom: str = "geom") -> DataFrame:

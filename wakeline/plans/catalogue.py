@@ -317,7 +317,6 @@ def _region_sql(zoom: int, names: tuple[str, ...], select: str) -> str:
 
 
 _ALL = tuple(r[0] for r in reference.REGIONS)
-_SMALL = tuple(n for n in _ALL if n.startswith("small"))
 
 
 @query(_region_sql(17, _ALL, f"select name, {_morton('x', 'y')} as cell from c"))
@@ -325,9 +324,12 @@ def region_cover_z17(spark, sf):
     return cells.region_cells(reference.region_polygons(spark), 17).select("name", F.col("cell_z17").alias("cell"))
 
 
-@query(_region_sql(21, _SMALL, f"select name, {_morton('x', 'y')} as cell from c"))
-def region_cover_z21_small(spark, sf):
-    return cells.region_cells(reference.region_polygons(spark).filter(F.col("name").isin(*_SMALL)), 21).select("name", F.col("cell_z21").alias("cell"))
+@query(_region_sql(21, _ALL, f", k as (select name, {_morton('x', 'y')} as cell from c) select name, cell >> 16 as tile, count(*) as n_cells, min(cell) as first, max(cell) as last, sum(cell & 65535)::bigint as places from k group by 1, 2").replace("c , k", "c, k"))
+def region_cover_z21(spark, sf):
+    """The cells of all regions at zoom 21, some eleven million, summed up by their zoom-13 tile."""
+    k = cells.region_cells(reference.region_polygons(spark), 21).withColumn("cell", F.col("cell_z21"))
+    sums = [F.count("*").alias("n_cells"), F.min("cell").alias("first"), F.max("cell").alias("last"), F.sum(F.col("cell").bitwiseAND(65535)).alias("places")]
+    return k.groupBy("name", F.shiftright("cell", 16).alias("tile")).agg(*sums)
 
 
 @query(_region_sql(13, _ALL, f"select name, {_morton('x', 'y')} as cell from c"))
@@ -336,18 +338,23 @@ def region_cover_z13_flat(spark, sf):
     return done.select("name", F.explode("cells").alias("cell"))
 
 
-@query(_region_sql(17, _SMALL, f", k as (select name, {_morton('x', 'y')} as cell from c) select name, count(*) as n_z17, string_agg(cell::varchar, ',' order by cell) as cells from k group by name").replace("c , k", "c, k"))
+@query(_region_sql(17, _ALL, f", k as (select name, {_morton('x', 'y')} as cell from c) select name, count(*) as n_z17, string_agg(cell::varchar, ',' order by cell) as cells from k group by name").replace("c , k", "c, k"))
 def region_arrays(spark, sf):
-    a = cells.polygon_arrays(reference.region_polygons(spark).filter(F.col("name").isin(*_SMALL)), skip_z21=True)
+    a = cells.polygon_arrays(reference.region_polygons(spark), skip_z21=True)
     return a.select("name", F.size("cellstring_z17").cast("long").alias("n_z17"), F.array_join(F.array_sort("cellstring_z17").cast("array<string>"), ",").alias("cells"))
 
 
-@query(_region_sql(13, _ALL, "select name, x, y, 1 as kind from c where name like 'small%'"))
+@query(
+    _region_sql(13, _ALL, ", t as (select b.*, x, unnest(range(y0 - 1, y1 + 2)) as y from (select *, unnest(range(x0 - 1, x1 + 2)) as x from b) b) select name, x, y, case when x > x0 and x < x1 and y > y0 and y < y1 then 2 when x between x0 and x1 and y between y0 and y1 then 1 else 0 end as kind from t").replace("c , t", "c, t")
+)
 def tile_classification(spark, sf):
-    """Zoom-13 tiles of the small regions: none lies in a region, all meet it."""
-    small = reference.region_polygons(spark).filter(F.col("name").isin(*_SMALL))
-    tiles = cover.flat_polygon_cover(small, 13).select("name", "geom", F.explode("cells").alias("cell"))
-    placed = tiles.select("name", "geom", geo.cell_x(F.col("cell")).alias("x"), geo.cell_y(F.col("cell")).alias("y"))
+    """Zoom-13 tiles of all regions and one tile around them: inside, on the border, and outside."""
+    shapes = reference.region_polygons(spark).select("name", "geom")
+    tiles = cover.flat_polygon_cover(shapes, 13).select("name", F.explode("cells").alias("cell"))
+    x, y = geo.cell_x(F.col("cell")), geo.cell_y(F.col("cell"))
+    box = tiles.groupBy("name").agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
+    grown = lambda a, b: F.explode(F.sequence(F.col(a) - 1, F.col(b) + 1))
+    placed = box.select("name", "y0", "y1", grown("x0", "x1").alias("x")).select("name", "x", grown("y0", "y1").alias("y")).join(shapes, "name")
     return cover.classify_tiles(placed, "geom", "x", "y", 13).select("name", "x", "y", "kind")
 
 
@@ -511,9 +518,11 @@ def id_except(spark, sf):
     return t("orders").select("o_custkey").subtract(t("customer").filter("c_custkey % 3 = 0").select("c_custkey"))
 
 
-@query(f"with {POINTS_CTE} select mmsi, count(*) as num_points from pts where mmsi not in (select mmsi from pts where epoch_ts % 7 = 0 union select mmsi from pts where epoch_ts % 11 = 0) group by mmsi")
+@query(f"with {POINTS_CTE}, h as (select min(epoch_ts) + 86400 as until from pts) select mmsi, count(*) as num_points from pts where mmsi not in (select mmsi from pts, h where epoch_ts < until and sog >= 1 union select mmsi from pts, h where epoch_ts < until and sog < 1) group by mmsi")
 def processed_union(spark, sf):
+    """Vessels that neither moved nor stopped in the first day, and so are still to be processed."""
     p = points_of(spark, sf)
-    e = F.col("epoch_ts").cast("long")
-    return ingest.unprocessed_vessels(p, p.filter(e % 7 == 0), p.filter(e % 11 == 0))
+    until = p.agg((F.min(F.col("epoch_ts").cast("long")) + 86400).alias("until"))
+    early = p.join(F.broadcast(until), F.col("epoch_ts").cast("long") < F.col("until"))  # one row
+    return ingest.unprocessed_vessels(p, early.filter("sog >= 1"), early.filter("sog < 1"))
 

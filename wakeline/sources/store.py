@@ -21,10 +21,15 @@ def staged(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="wakeline-staged-")
         sc.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/wakeline-{uuid.uuid4().hex}"
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(sc._jsc.hadoopConfiguration())
     df.write.parquet(path)
+    files.deleteOnExit(at)  # the table goes when the driver ends
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,6 +51,8 @@ class Store:
     def create(self) -> None:
         """All tables that are not there yet."""
         for table, schema in (LS_TABLES | CS_TABLES).items():
+            if not self.exists(table) and self.spark.catalog.tableExists(f"{self.name(table)}_next"):  # replace() was cut off
+                self.spark.sql(f"alter table {self.name(table)}_next rename to {self.name(table)}")
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
             if table in PARTITIONS:
                 columns += f", `{PARTITIONS[table]}` date"
@@ -69,7 +76,7 @@ class Store:
         self.require(table)
         return self.spark.table(self.name(table))
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, to: str | None = None) -> None:
         """Add rows by column name; points are laid out by day. A row that fails the table's check fails the job."""
         schema = (LS_TABLES | CS_TABLES)[table]
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
@@ -80,14 +87,16 @@ class Store:
         if table == "points":
             out = out.withColumn("point_day", F.to_date("timestamp"))
         writer = out.write.mode("append").format("parquet")
-        (writer.partitionBy(PARTITIONS[table]) if table in PARTITIONS else writer).saveAsTable(self.name(table))
+        (writer.partitionBy(PARTITIONS[table]) if table in PARTITIONS else writer).saveAsTable(to or self.name(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        """Put rows in place of a small table's; they may come from the table itself."""
-        kept = staged(rows)
+        """Put rows in place of a small table's; they may come from the table itself. They are written aside first: whenever this
+        is cut off, the old rows or the new ones are there, and create() puts the latter in their place."""
+        aside = f"{self.name(table)}_next"
+        self.spark.sql(f"drop table if exists {aside}")
+        self.append(table, rows, aside)
         self.spark.sql(f"drop table {self.name(table)}")
-        self.create()
-        self.append(table, kept)
+        self.spark.sql(f"alter table {aside} rename to {self.name(table)}")
 
 
 def number(rows: DataFrame, key: str, order: list[str], after: int = 0) -> DataFrame:
