@@ -518,11 +518,11 @@ def id_except(spark, sf):
     return t("orders").select("o_custkey").subtract(t("customer").filter("c_custkey % 3 = 0").select("c_custkey"))
 
 
-@query(f"with {POINTS_CTE}, h as (select min(epoch_ts) + 86400 as until from pts) select mmsi, count(*) as num_points from pts where mmsi not in (select mmsi from pts, h where epoch_ts < until and sog >= 1 union select mmsi from pts, h where epoch_ts < until and sog < 1) group by mmsi")
+@query(f"with {POINTS_CTE}, h as (select min(epoch_ts) + 21600 as until from pts) select mmsi, count(*) as num_points from pts where mmsi not in (select mmsi from pts, h where epoch_ts < until and sog >= 1 union select mmsi from pts, h where epoch_ts < until and sog < 1) group by mmsi")
 def processed_union(spark, sf):
-    """Vessels that neither moved nor stopped in the first day, and so are still to be processed."""
+    """Vessels that neither moved nor stopped in the first six hours, and so are still to be processed."""
     p = points_of(spark, sf)
-    until = p.agg((F.min(F.col("epoch_ts").cast("long")) + 86400).alias("until"))
+    until = p.agg((F.min(F.col("epoch_ts").cast("long")) + 21600).alias("until"))
     early = p.join(F.broadcast(until), F.col("epoch_ts").cast("long") < F.col("until"))  # one row
     return ingest.unprocessed_vessels(p, early.filter("sog >= 1"), early.filter("sog < 1"))
 
