@@ -274,8 +274,8 @@ def vessel_mbr_area(spark, sf):
 # ---- covers ------------------------------------------------------------------------------------------------------------
 
 
-def _passage_sql(zoom: int, select: str) -> str:
-    rows = ", ".join(f"({i}, '{name}', {a[0]!r}::double, {a[1]!r}::double, {b[0]!r}::double, {b[1]!r}::double)" for i, (name, a, b) in enumerate(reference.PASSAGES, 1))
+def _passage_sql(zoom: int, select: str, lines: list = reference.PASSAGES) -> str:
+    rows = ", ".join(f"({i}, '{name}', {a[0]!r}::double, {a[1]!r}::double, {b[0]!r}::double, {b[1]!r}::double)" for i, (name, a, b) in enumerate(lines, 1))
     ends = f"e as (select id, name, {_x(zoom, 'lon0')} as x0, {_y(zoom, 'lat0')} as y0, {_x(zoom, 'lon1')} as x1, {_y(zoom, 'lat1')} as y1 from (values {rows}) as t(id, name, lon0, lat0, lon1, lat1))"
     start = "s as (select *, x1 - x0 as dx, y1 - y0 as dy from e)"
     walk = (
@@ -305,8 +305,9 @@ def cellstring_array(spark, sf):
     return a.select("name", F.size("cellstring_z17").cast("long").alias("n_z17"), F.array_join(F.col("cellstring_z17").cast("array<string>"), ",").alias("cells"))
 
 
-#: Rectangles where the made-up vessels are.
+#: Rectangles where the made-up vessels are, and lines that they cross.
 AREAS = [("west", 9.9, 55.0, 10.15, 55.5), ("east", 10.2, 55.3, 10.6, 56.1)]
+LINES = [("western line", (10.05, 55.0), (10.06, 56.2)), ("eastern line", (10.3, 56.2), (10.28, 55.0))]
 
 
 def _region_sql(zoom: int, names: tuple[str, ...], select: str) -> str:
@@ -398,10 +399,10 @@ f as (
 _SEGMENTS = (
     _FOLD
     + """,
-eff as (select *, row_number() over w as i, lag(label) over w as plabel, lag(epoch_ts) over w as before, lag(lon) over w as blon, lag(lat) over w as blat
+eff as (select *, row_number() over w as i, lag(label) over w as plabel, lag(epoch_ts) over w as before, lag(rn) over w as brn, lag(lon) over w as blon, lag(lat) over w as blat
   from f where label not in ('dup', 'outlier') window w as (partition by mmsi, day order by rn)),
 run as (select *, sum(case when label is distinct from plabel or label = 'gap' then 1 else 0 end) over (partition by mmsi, day order by i) as g from eff),
-seg as (select mmsi, day, g, label, count(*) + 1 as n_points, min(before) as ts_start, max(epoch_ts) as ts_end,
+seg as (select mmsi, day, g, label, list_prepend(arg_min(brn, i), list(rn order by i)) as nodes, count(*) + 1 as n_points, min(before) as ts_start, max(epoch_ts) as ts_end,
   sum(lon) + arg_min(blon, i) as sx, sum(lat) + arg_min(blat, i) as sy,
   least(min(lon), arg_min(blon, i)) as w, least(min(lat), arg_min(blat, i)) as s, greatest(max(lon), arg_min(blon, i)) as e, greatest(max(lat), arg_min(blat, i)) as n
   from run where label in ('stop', 'move') group by mmsi, day, g, label)"""
@@ -456,9 +457,68 @@ def _objects(spark, sf, kind: str) -> DataFrame:
     return segment.objects(points_of(spark, sf)).filter(F.col("kind") == kind)
 
 
-@query()
+#: Invalid stops are taken one after the other; moves holds the trajectories of a vessel's day as lists of point numbers.
+_MOVES = (
+    _MERGE
+    + f""",
+parts as (select mg.mmsi, mg.day, mg.gid, flatten(list(st.nodes order by st.k)) as nodes from mg join st on st.mmsi = mg.mmsi and st.day = mg.day and st.k = mg.k group by mg.mmsi, mg.day, mg.gid),
+bad as (select parts.* from parts join merged using (mmsi, day, gid) where not {_VALID}),
+legs as (select mmsi, day, gid, nodes, unnest(range(1, len(nodes))) as j from bad),
+torn as (
+  select l.mmsi, l.day, l.gid, bool_or(b.epoch_ts - a.epoch_ts > 3600 or b.epoch_ts <= a.epoch_ts or {_haversine('a.lon', 'a.lat', 'b.lon', 'b.lat')} / (b.epoch_ts - a.epoch_ts) / 0.514444 > 50) as is_torn
+  from legs l join p a on a.mmsi = l.mmsi and a.day = l.day and a.rn = l.nodes[l.j] join p b on b.mmsi = l.mmsi and b.day = l.day and b.rn = l.nodes[l.j + 1] group by all),
+todo as (select mmsi, day, nodes, row_number() over (partition by mmsi, day order by gid) as k from bad join torn using (mmsi, day, gid) where not is_torn),
+ab as (
+  select mmsi, day, 0::bigint as k, moves from (select mmsi, day, list(nodes order by g) filter (label = 'move') as moves from seg group by mmsi, day) where true
+  union all
+  select mmsi, day, k, case
+      when b is not null and a is not null and a <> b then list_filter(list_transform(moves, lambda m, i: case when i = b then m || nodes || moves[a] else m end), lambda m, i: i <> a)
+      when b is not null then list_transform(moves, lambda m, i: case when i = b then m || nodes else m end)
+      when a is not null then list_transform(moves, lambda m, i: case when i = a then nodes || m else m end)
+      when len(nodes) >= 10 then list_append(moves, nodes) else moves end
+  from (
+    select t.mmsi, t.day, t.k, t.nodes, ab.moves,
+      list_max(list_filter(range(1, coalesce(len(ab.moves), 0) + 1), lambda i: ab.moves[i][-1] = t.nodes[1])) as b, list_max(list_filter(range(1, coalesce(len(ab.moves), 0) + 1), lambda i: ab.moves[i][1] = t.nodes[-1])) as a
+    from ab join todo t on t.mmsi = ab.mmsi and t.day = ab.day and t.k = ab.k + 1) x),
+made as (select mmsi, day, unnest(moves) as nodes from (select mmsi, day, arg_max(moves, k) as moves from ab group by mmsi, day)),
+vx as (
+  select row_number() over () as rid, m.mmsi, m.day, m.nodes from made m where len(m.nodes) >= 10),
+vp as (select rid, mmsi, day, unnest(nodes) as rn, unnest(range(1, len(nodes) + 1)) as i from vx),
+vt as (select rid, mmsi, i, lon, lat, epoch_ts from vp join p using (mmsi, day, rn)),
+tr as (select row_number() over (order by mmsi, ts_start, ts_end) as trajectory_id, * from (select rid, mmsi, arg_min(epoch_ts, i) as ts_start, arg_max(epoch_ts, i) as ts_end, count(*) as n_points,
+  string_agg(concat_ws(':', epoch_ts, round(lon * 1e6)::bigint, round(lat * 1e6)::bigint), ',' order by i) as points from vt group by rid, mmsi) where ts_end > ts_start)"""
+)
+#: The walk of each pair of vertices from grid line to grid line, and the visits of cells that follow from it.
+_VISITS = (
+    _MOVES
+    + f""",
+fr as (select trajectory_id, vt.i, vt.epoch_ts, {_x(21, 'vt.lon')} as x, {_y(21, 'vt.lat')} as y from vt join tr using (rid)),
+pr as (select *, x1 - x as dx, y1 - y as dy from (select *, lead(x) over o as x1, lead(y) over o as y1, lead(epoch_ts) over o as t1 from fr window o as (partition by trajectory_id order by i)) where x1 is not null),
+wk as (
+  select trajectory_id, i, 0 as step, floor(x)::bigint as cx, floor(y)::bigint as cy, sign(dx)::bigint as sx, sign(dy)::bigint as sy,
+    case when dx = 0 then 'inf'::double else abs(((case when dx > 0 then 1 else 0 end) + floor(x) - x) / dx) end as tx, case when dy = 0 then 'inf'::double else abs(((case when dy > 0 then 1 else 0 end) + floor(y) - y) / dy) end as ty,
+    case when dx = 0 then 'inf'::double else abs(1 / dx) end as stepx, case when dy = 0 then 'inf'::double else abs(1 / dy) end as stepy
+  from pr where i = 1 or dx <> 0 or dy <> 0
+  union all
+  select trajectory_id, i, step + 1, case when tx < ty then cx + sx else cx end, case when tx < ty then cy else cy + sy end, sx, sy,
+    case when tx < ty then tx + stepx else tx end, case when tx < ty then ty else ty + stepy end, stepx, stepy from wk where tx < 1 or ty < 1),
+timed as (
+  select trajectory_id, i, step, cx, cy, case when n = 0 then epoch_ts else case when even - floor(even) = 0.5 then floor(even) + floor(even) % 2 else floor(even + 0.5) end::bigint end as ts
+  from (select wn.*, pr.epoch_ts, case when n = 0 then null else pr.epoch_ts + step::double / n * (pr.t1 - pr.epoch_ts) end as even
+    from (select trajectory_id, i, step, cx, cy, max(step) over (partition by trajectory_id, i) as n from wk) wn join pr using (trajectory_id, i))),
+fresh as (select * from (select *, lag(cx) over o as px, lag(cy) over o as py from timed window o as (partition by trajectory_id order by i, step)) where px is null or px <> cx or py <> cy),
+visit as (
+  select trajectory_id, mmsi, (row_number() over o - 1)::integer as pos, {_morton('cx', 'cy')} as cell_z21, ts as ts_entry, greatest(ts, coalesce(lead(ts) over o, ts_end)) as ts_exit
+  from fresh join tr using (trajectory_id) window o as (partition by trajectory_id order by i, step))"""
+)
+
+
+@query(f"with recursive {_MOVES} select mmsi, ts_start, ts_end, n_points, points from tr")
 def trajectories(spark, sf):
-    return _objects(spark, sf, "traj").select("mmsi", "ts_start", "ts_end", F.size("coords").cast("long").alias("n_points"))
+    """Trajectories with their vertices written out, in whole seconds and millionths of a degree."""
+    millionths = lambda c: F.round(c * 1e6).cast("long").cast("string")
+    points = F.array_join(F.transform("coords", lambda c: F.concat_ws(":", c["ts"].cast("long").cast("string"), millionths(c["lon"]), millionths(c["lat"]))), ",")
+    return _objects(spark, sf, "traj").select("mmsi", "ts_start", "ts_end", F.size("coords").cast("long").alias("n_points"), points.alias("points"))
 
 
 @query(f"with recursive {_MERGE} select mmsi, ts_start, ts_end from merged where {_VALID}")
@@ -477,15 +537,23 @@ def _stops(spark, sf) -> DataFrame:
     return number(staged(rows), "stop_id", ["mmsi", "ts_start", "ts_end"])
 
 
-@query()
+@query(f"with recursive {_VISITS} select trajectory_id::integer as trajectory_id, mmsi, pos, cell_z21, ts_entry, ts_exit from visit")
 def trajectory_cells(spark, sf):
     done = cells.trajectory_cells(_trajectories(spark, sf))
     return done.select("trajectory_id", "mmsi", "pos", "cell_z21", _epoch("ts_entry").alias("ts_entry"), _epoch("ts_exit").alias("ts_exit"))
 
 
-@query()
+def _firsts(zoom: int) -> str:
+    bits = 2 * (21 - zoom)
+    return f"z{zoom} as (select trajectory_id, count(*)::integer as n_z{zoom}, string_agg(cell::varchar, ',' order by pos) as cells_z{zoom} from (select trajectory_id, cell_z21 >> {bits} as cell, min(pos) as pos from visit group by 1, 2) group by 1)"
+
+
+@query(f"with recursive {_VISITS}, {', '.join(_firsts(z) for z in (13, 17, 21))} select trajectory_id::integer as trajectory_id, mmsi, n_z13, n_z17, n_z21, cells_z13, cells_z17, cells_z21 from tr join z13 using (trajectory_id) join z17 using (trajectory_id) join z21 using (trajectory_id)")
 def trajectory_cell_arrays(spark, sf):
-    return cells.trajectory_arrays(_trajectories(spark, sf)).select("trajectory_id", "mmsi", *[F.size(f"cellstring_z{z}").alias(f"n_z{z}") for z in (13, 17, 21)])
+    """The array form of trajectories at three zooms, with the number of cells and the cells written out."""
+    a = cells.trajectory_arrays(_trajectories(spark, sf))
+    columns = [(z, f"cellstring_z{z}") for z in (13, 17, 21)]
+    return a.select("trajectory_id", "mmsi", *[F.size(c).alias(f"n_z{z}") for z, c in columns], *[F.array_join(F.col(c).cast("array<string>"), ",").alias(f"cells_z{z}") for z, c in columns])
 
 
 @query()
@@ -494,11 +562,14 @@ def stop_cells(spark, sf):
     return done.select("stop_id", "mmsi", _epoch("ts_start").alias("ts_start"), _epoch("ts_end").alias("ts_end"), "cell_z21")
 
 
-@query()
+@query(
+    _passage_sql(21, f", {_VISITS}, pc as (select distinct name, {_morton('x', 'y')} as cell_z21 from w) select trajectory_id::integer as trajectory_id, name, count(distinct cell_z21) as n_cells, min(ts_entry) as first_entry, max(ts_exit) as last_exit from visit join pc using (cell_z21) group by 1, 2", [*reference.PASSAGES, *LINES]).replace(") , ", "), ")
+)
 def trajectory_passage_join(spark, sf):
-    """Cells that trajectories share with the built-in passages, with first entry and last exit."""
+    """Cells that trajectories share with the built-in passages and two lines that they cross, with first entry and last exit."""
     visits = cells.trajectory_cells(_trajectories(spark, sf))
-    done = cells.crossings(visits, cells.passage_cells(reference.passages(spark)), "trajectory_id", "name")
+    passages = reference.passages(spark, [*reference.PASSAGES, *LINES])
+    done = cells.crossings(visits, cells.passage_cells(passages), "trajectory_id", "name")
     return done.select("trajectory_id", "name", "n_cells", _epoch("first_entry").alias("first_entry"), _epoch("last_exit").alias("last_exit"))
 
 

@@ -37,8 +37,8 @@ REGIONS = [
 ]
 
 
-def passages(spark: SparkSession) -> DataFrame:
-    rows = [(i, name, [{"lon": a, "lat": b} for a, b in ends]) for i, (name, *ends) in enumerate(PASSAGES, 1)]
+def passages(spark: SparkSession, lines: list = PASSAGES) -> DataFrame:
+    rows = [(i, name, [{"lon": a, "lat": b} for a, b in ends]) for i, (name, *ends) in enumerate(lines, 1)]
     return spark.createDataFrame(rows, PASSAGE_LS)
 
 
