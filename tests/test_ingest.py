@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import numpy as np
@@ -85,9 +86,16 @@ def test_whole_run_is_incremental(spark, tmp_path):
     visits = store.read("trajectory_cs")
     assert visits.select("trajectory_id").distinct().count() == 2 and visits.filter("ts_exit < ts_entry").count() == 0
     box = geojson.regions(spark, [(7, "box", [[[(10.0, 57.04), (10.02, 57.04), (10.02, 57.06), (10.0, 57.06)]]])])
+    pipeline.convert_regions(spark, replace(cfg, skip_z21=True), box)
+    assert store.read("region_cs").count() == 0 and store.read("region_cs_z13").count() > 0
     pipeline.convert_regions(spark, cfg, box)
     pipeline.convert_regions(spark, cfg, box)
+    coarse = {z: {r[0] for r in store.read("region_cs").selectExpr(f"shiftright(cell_z21, {2 * (21 - z)})").distinct().collect()} for z in (13, 17)}
+    for z, expected in coarse.items():
+        found = [r[0] for r in store.read(f"region_cs_z{z}").select(f"cell_z{z}").collect()]
+        assert len(found) == len(set(found)) and set(found) == expected
     pipeline.convert_passages(spark, cfg)
+    assert [store.read(t).select("passage_id").distinct().count() for t in ("passage_cs_z13", "passage_cs_z17")] == [12, 12]
     assert store.read("region_poly").count() == 1 and store.read("passage_cs").select("passage_id").distinct().count() == 12
     from wakeline.operators.cells import crossings
 

@@ -138,6 +138,18 @@ def test_objects_of_a_table(spark):
     assert {r.label for r in segment.point_labels(df).collect()} == {"init", "stop"}
 
 
+def test_a_vessel_day_that_raises_is_kept_as_a_row_on_request(spark):
+    rows = [(219000001, 57.056374, 10.383365, None, T0 + 10.0 * i) for i in range(100)] + [(219000002, 55.0, 10 + 0.01 * i, 20.0, T0 + 30.0 * i) for i in range(30)]
+    df = spark.createDataFrame(rows, "mmsi long, lat double, lon double, sog double, epoch_ts double").withColumn("timestamp", F.timestamp_seconds("epoch_ts").cast("timestamp_ntz"))
+    broken = Thresholds(stop_points="ten")  # only a vessel that stops compares with it
+    with pytest.raises(Exception, match="TypeError"):
+        segment.objects(df, broken).collect()
+    out = {r.mmsi: r for r in segment.objects(df, broken, keep_errors=True).collect()}
+    assert (out[219000001].kind, out[219000001].ts_start, out[219000001].ts_end, out[219000001].coords) == ("error", T0, T0 + 990, None)
+    assert "TypeError" in out[219000001].error
+    assert out[219000002].kind == "traj" and out[219000002].error is None
+
+
 def test_midnight_cuts_unless_told_otherwise(spark):
     start = 1_700_006_400 - 300  # five minutes before midnight
     rows = [(219000001, 55.0, 10 + 0.01 * i, 20.0, float(start + 30 * i)) for i in range(30)]

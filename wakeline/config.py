@@ -118,6 +118,7 @@ class PipelineConfig:
     skip_z21: bool = False
     partition_by_day: bool = True
     only_mmsi: int | None = None
+    keep_errors: bool = False
     drop_ls: bool = False
     drop_cs: bool = False
     create_schema: bool = True
@@ -164,6 +165,8 @@ class PipelineConfig:
             backend=backend,
             start=day("AIS_START_DATE"),
             end=day("AIS_END_DATE"),
+            skip_z21=run_step(env, "SKIP_Z21", default=False),
+            keep_errors=run_step(env, "KEEP_ERRORS", default=False),
             drop_ls=run_step(env, "ETL_DROP_LS", "ETL_DROP", False),
             drop_cs=run_step(env, "ETL_DROP_CS", "ETL_DROP", False),
             create_schema=run_step(env, "ETL_CREATE_SCHEMA"),

@@ -14,13 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from wakeline.config import Thresholds
 from wakeline.functions import hull
 from wakeline.functions.geo import EARTH_RADIUS_M, KNOT_MPS, mbr_area_m2
 
 LIMITS = Thresholds()
-OBJECTS = "mmsi long, kind string, seq int, ts_start long, ts_end long, coords array<struct<lon:double,lat:double,ts:double>>, ring array<struct<lon:double,lat:double>>"
+OBJECTS = "mmsi long, kind string, seq int, ts_start long, ts_end long, coords array<struct<lon:double,lat:double,ts:double>>, ring array<struct<lon:double,lat:double>>, error string"
 
 
 def distance_m(lon1, lat1, lon2, lat2):
@@ -219,10 +221,24 @@ def _lists(sizes: list[int], columns: list[np.ndarray], names: list[str], missin
     return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names), mask=pa.array(missing))
 
 
-def objects(points: DataFrame, limits: Thresholds = LIMITS, by_day: bool = True) -> DataFrame:
-    """Trajectories (kind 'traj', with coords) and stops (kind 'stop', with ring) of all vessels, in seconds since 1970."""
+def objects(points: DataFrame, limits: Thresholds = LIMITS, by_day: bool = True, keep_errors: bool = False) -> DataFrame:
+    """Trajectories (kind 'traj', with coords) and stops (kind 'stop', with ring) of all vessels, in seconds since 1970.
+
+    A vessel-day that raises fails the job; with keep_errors it gives one row of kind 'error', with the first and last time of its
+    points and what was raised in error, and the others go on."""
+
+    shape = to_arrow_schema(StructType.fromDDL(OBJECTS))
 
     def work(mmsi, track):
+        try:
+            return build(mmsi, track)
+        except Exception as e:
+            if not keep_errors:
+                raise
+            row = {"mmsi": mmsi, "kind": "error", "seq": 0, "ts_start": int(track.t[0]), "ts_end": int(track.t[-1]), "coords": None, "ring": None, "error": f"{type(e).__name__}: {e}"}
+            return pa.Table.from_pylist([row], schema=shape)
+
+    def build(mmsi, track):
         moves, stops = segment(track, limits)
         made = [("traj", m) for m in moves] + [("stop", s) for s in stops]
         is_stop_row = np.array([k == "stop" for k, _ in made], bool)
@@ -233,7 +249,7 @@ def objects(points: DataFrame, limits: Thresholds = LIMITS, by_day: bool = True)
         ring = _lists([0] * len(moves) + [len(r) for r in rings], [corners[:, 0], corners[:, 1]], ["lon", "lat"], ~is_stop_row)
         return pa.table({
             "mmsi": pa.array([mmsi] * len(made), pa.int64()), "kind": pa.array([k for k, _ in made], pa.string()), "seq": pa.array(range(len(made)), pa.int32()),
-            "ts_start": pa.array([int(track.t[m[0]]) for _, m in made], pa.int64()), "ts_end": pa.array([int(track.t[m[-1]]) for _, m in made], pa.int64()), "coords": coords, "ring": ring,
+            "ts_start": pa.array([int(track.t[m[0]]) for _, m in made], pa.int64()), "ts_end": pa.array([int(track.t[m[-1]]) for _, m in made], pa.int64()), "coords": coords, "ring": ring, "error": pa.nulls(len(made), pa.string()),
         })
 
     return _grouped(points, by_day, OBJECTS, work)

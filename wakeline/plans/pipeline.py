@@ -39,12 +39,13 @@ def load_points(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
 
 
 def construct(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
-    """Trajectories and stops of all points newer than the last object's end, in one job over all vessel-days."""
+    """Trajectories and stops of all points newer than the last object's end, in one job over all vessel-days. Vessel-days that
+    raise go to construct_errors if the settings keep errors, else they fail the job."""
     store = store_of(spark, config)
     store.require("points")
     latest = ingest.high_water_mark(store.read("trajectory_ls"), store.read("stop_poly")).first()[0]
     points = store.read("points").filter((F.col("timestamp") > F.lit(latest).cast("timestamp_ntz")) & (F.col("point_day") >= F.to_date(F.lit(latest))))
-    made = staged(segment.objects(points, config.thresholds, config.partition_by_day))
+    made = staged(segment.objects(points, config.thresholds, config.partition_by_day, config.keep_errors))
     stamp = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
     out = {}
     for kind, table, key, shape in (("traj", "trajectory_ls", "trajectory_id", "coords"), ("stop", "stop_poly", "stop_id", "ring")):
@@ -53,6 +54,10 @@ def construct(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
         numbered = number(rows, key, ["mmsi", "ts_start", "ts_end"], last)
         store.append(table, numbered)
         out[table] = rows.count()
+    failed = made.filter("kind = 'error'").select("mmsi", stamp("ts_start").alias("ts_start"), stamp("ts_end").alias("ts_end"), "error")
+    if config.keep_errors:
+        store.append("construct_errors", failed)
+        out["construct_errors"] = failed.count()
     return out
 
 
@@ -66,22 +71,24 @@ def transform(spark: SparkSession, config: PipelineConfig) -> None:
 
 
 def convert_regions(spark: SparkSession, config: PipelineConfig, regions: DataFrame | None = None) -> None:
-    """Add regions (the built-in ones by default) and the cells of all regions that have none yet."""
+    """Add regions (the built-in ones by default) and, at zoom 13, 17 and (unless skip_z21) 21, the cells of all regions that have none there."""
     store = store_of(spark, config)
     known = store.read("region_poly")
     new = (regions if regions is not None else reference.region_polygons(spark)).join(known.select("region_id"), "region_id", "left_anti")
     store.append("region_poly", staged(new))
-    fresh = ingest.unconverted(store.read("region_poly"), store.read("region_cs"), "region_id")
-    store.append("region_cs", staged(cells.region_cells(fresh)))
+    for zoom, table in ((13, "region_cs_z13"), (17, "region_cs_z17"), *(() if config.skip_z21 else ((21, "region_cs"),))):
+        fresh = ingest.unconverted(store.read("region_poly"), store.read(table), "region_id")
+        store.append(table, staged(cells.region_cells(fresh, zoom)))
 
 
 def convert_passages(spark: SparkSession, config: PipelineConfig, passages: DataFrame | None = None) -> None:
-    """Add passages (the built-in ones by default) and the cells of all passages that have none yet."""
+    """Add passages (the built-in ones by default) and, at zoom 13, 17 and 21, the cells of all passages that have none there."""
     store = store_of(spark, config)
     new = (passages if passages is not None else reference.passages(spark)).join(store.read("passage_ls").select("passage_id"), "passage_id", "left_anti")
     store.append("passage_ls", staged(new))
-    fresh = ingest.unconverted(store.read("passage_ls"), store.read("passage_cs"), "passage_id")
-    store.append("passage_cs", staged(cells.passage_cells(fresh)))
+    for zoom, table in ((13, "passage_cs_z13"), (17, "passage_cs_z17"), (21, "passage_cs")):
+        fresh = ingest.unconverted(store.read("passage_ls"), store.read(table), "passage_id")
+        store.append(table, staged(cells.passage_cells(fresh, zoom)))
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict:
