@@ -223,12 +223,23 @@ def binary_array(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, data]).cast(pa.binary())
 
 
-def from_binary(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
-    """All items of a binary column end to end, and the length of each in items of dtype."""
-    parts = [np.frombuffer(x.as_buffer(), dtype) for c in column.chunks for x in c]
-    if not parts:
-        return np.zeros(0, dtype), np.zeros(0, np.int64)
-    return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+def planes(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A binary array whose i-th item holds values[bounds[i]:bounds[i + 1]], first the first bytes of all its values, then the second
+    ones and so on: bytes that hardly change, as those of sorted hashes and of small ids, then lie together and compress well."""
+    width = values.dtype.itemsize * int(np.prod(values.shape[1:], dtype=np.int64))
+    rows = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), width)
+    return pa.array([rows[a:b].T.tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
+
+
+def from_planes(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a column that planes() made, one row a value, and the number of values of each item."""
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(width, -1) for c in column.chunks for x in c]
+    sizes = np.array([x.shape[1] for x in parts], np.int64)
+    out, at = np.empty((int(sizes.sum()), width), np.uint8), 0
+    for x in parts:
+        out[at : at + x.shape[1]] = x.T
+        at += x.shape[1]
+    return out, sizes
 
 
 def grouped(f, **kw):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, batches_for, binary_array, buffers, cogrouped, from_binary, grouped, hash_words, window_hashes
+from .common import LAST_ID, batches_for, buffers, cogrouped, from_planes, grouped, hash_words, planes, window_hashes
 
 #: A perfect difference cover: every residue modulo PERIOD is a difference of two of its members.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -87,10 +87,16 @@ def _six(x: np.ndarray) -> np.ndarray:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
 
 
-def _unsix(x: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(x) // 6, 8), np.uint8)
-    out[:, :6] = x.reshape(-1, 6)
-    return out.view("<u8").ravel()
+def _anchors_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    x, sizes = from_planes(column, 6)
+    out = np.zeros((len(x), 8), np.uint8)
+    out[:, :6] = x
+    return out.view("<u8").ravel(), sizes
+
+
+def _windows_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    x, sizes = from_planes(column, 16)
+    return x.view(np.uint64), sizes
 
 
 def _send(key: int, parts: np.ndarray, hashes: pa.Array, ids: pa.Array | None) -> pa.Table:
@@ -110,14 +116,13 @@ def _send_anchors(key, docs: pa.Table, window: int, parts: int) -> pa.Table:
     many = np.minimum.reduceat(d, start) != np.maximum.reduceat(d, start) if len(start) else np.zeros(0, bool)
     a = a[start]
     cut, bounds = _cut(a, parts, 48)
-    return _send(key[0].as_py(), cut, binary_array(_six(a | many.astype(np.uint64)), bounds), None)
+    return _send(key[0].as_py(), cut, planes(_six(a | many.astype(np.uint64)), bounds), None)
 
 
 def _shared_anchors(key, sent: pa.Table) -> pa.Table:
     """For each batch, its anchors that another document has too."""
-    raw, sizes = from_binary(sent.column("hashes"), np.uint8)
-    x = _unsix(raw)
-    batch = np.repeat(sent.column("batch").to_numpy(), sizes // 6)
+    x, sizes = _anchors_of(sent.column("hashes"))
+    batch = np.repeat(sent.column("batch").to_numpy(), sizes)
     a = x >> np.uint64(1)
     order = np.argsort(a, kind="stable")
     a, many, batch = a[order], (x & np.uint64(1)).astype(bool)[order], batch[order]
@@ -128,19 +133,19 @@ def _shared_anchors(key, sent: pa.Table) -> pa.Table:
     shared = np.repeat((size > 1) | np.logical_or.reduceat(many, start), size)
     a, batch = a[shared], batch[shared]
     order = np.argsort(batch, kind="stable")
-    return _by_batch(batch[order], _six(a[order] << np.uint64(1)), None)
+    return _by_batch(batch[order], _six(a[order] << np.uint64(1)))
 
 
-def _by_batch(batch: np.ndarray, hashes: np.ndarray, ids: np.ndarray | None) -> pa.Table:
+def _by_batch(batch: np.ndarray, hashes: np.ndarray) -> pa.Table:
     at = np.flatnonzero(np.diff(batch)) + 1 if len(batch) else np.zeros(0, np.int64)
     bounds = np.concatenate([[0], at, [len(batch)]]).astype(np.int64) if len(batch) else np.zeros(1, np.int64)
     n = len(bounds) - 1
-    return pa.table({"part": pa.array(np.zeros(n), pa.int64()), "batch": pa.array(batch[bounds[:-1]], pa.int64()), "hashes": binary_array(hashes, bounds), "ids": pa.nulls(n, pa.binary()) if ids is None else binary_array(ids, bounds)})
+    return pa.table({"part": pa.array(np.zeros(n), pa.int64()), "batch": pa.array(batch[bounds[:-1]], pa.int64()), "hashes": planes(hashes, bounds), "ids": pa.nulls(n, pa.binary())})
 
 
 def _send_windows(key, docs: pa.Table, back: pa.Table, window: int, parts: int) -> pa.Table:
     """Windows that hold a shared anchor, each with the smallest document of the batch that has it."""
-    shared = np.sort(_unsix(from_binary(back.column("hashes"), np.uint8)[0]))
+    shared = np.sort(_anchors_of(back.column("hashes"))[0])
     if not len(shared) or not len(docs):
         return _send(0, np.zeros(0, np.int64), pa.array([], pa.binary()), None)
     ids = _ids(docs.column("id"))
@@ -158,24 +163,23 @@ def _send_windows(key, docs: pa.Table, back: pa.Table, window: int, parts: int)
     w = w[order[start]]
     least = np.minimum.reduceat(d[order], start) if len(start) else d
     cut, bounds = _cut(w[:, 0], parts, 64)
-    return _send(key[0].as_py(), cut, binary_array(w, bounds), binary_array(least, bounds))
+    return _send(key[0].as_py(), cut, planes(w, bounds), planes(least, bounds))
 
 
 def _first_documents(key, sent: pa.Table) -> pa.Table:
-    """For each batch, its windows that start in a smaller document of another batch, with the smallest of all."""
-    w, sizes = from_binary(sent.column("hashes"), np.uint64)
-    w = w.reshape(-1, 2)
-    d, _ = from_binary(sent.column("ids"), np.int64)
-    batch = np.repeat(sent.column("batch").to_numpy(), sizes // 2)
+    """For each batch, its windows that start in a document of another batch that is smaller than all of its own with them."""
+    w, sizes = _windows_of(sent.column("hashes"))
+    d = from_planes(sent.column("ids"), 8)[0].view(np.int64).ravel()
+    batch = np.repeat(sent.column("batch").to_numpy(), sizes)
     order, start = _sorted(w)
     w, d, batch = w[order], d[order], batch[order]
     if not len(start):
-        return _by_batch(batch, w, d)
+        return _by_batch(batch, w)
     least = np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(w))))
     tell = least < d
-    w, least, batch = w[tell], least[tell], batch[tell]
+    w, batch = w[tell], batch[tell]
     order = np.argsort(batch, kind="stable")
-    return _by_batch(batch[order], w[order], least[order])
+    return _by_batch(batch[order], w[order])
 
 
 def _strip(key, docs: pa.Table, back: pa.Table, window: int) -> pa.Table:
@@ -192,10 +196,10 @@ def _strip(key, docs: pa.Table, back: pa.Table, window: int) -> pa.Table:
     gone = np.zeros(len(h) + 1, np.int64)
     if len(start):
         least = np.minimum.reduceat(sd, start)
-        far, first = from_binary(back.column("hashes"), np.uint64)[0], from_binary(back.column("ids"), np.int64)[0]
+        far = _windows_of(back.column("hashes"))[0]
         if len(far):
-            at, hit = _find(sx[start], far.reshape(-1, 2))
-            least[at[hit]] = np.minimum(least[at[hit]], first[hit])
+            at, hit = _find(sx[start], far)
+            least[at[hit]] = np.iinfo(np.int64).min
         size = np.diff(np.append(start, len(sx)))
         dup = take[order[sd > np.repeat(least, size)]]
         gone[dup] += 1
