@@ -36,9 +36,12 @@ def test_any_text(library, text):
 
 def test_hard_texts(library):
     rng = random.Random(6)
-    letters = "abcdefg ABC'sSt're123  \x1c\x85 <>|/w ÀÉéßÜñ日本Σςσİıá éſKﬁ​　\n\t!!...—“”😀👍🏽ักکि٠½²Ⅷ"
+    letters = "abcdefg ABİC'sSt're123  \x1c\x85 <>|/w ÀÉéßÜñ日本Σςσİıá éſKﬁ​　\n\t!!...—“”😀👍🏽ักکि٠½²Ⅷ"
     for _ in range(500):
         same(library, "".join(rng.choice(letters) for _ in range(rng.randint(0, 50))))
+    marks = "aAbSs'’.,!_-1é\u0301ÉİıΣσ|$<> l"
+    for _ in range(3000):
+        same(library, "".join(rng.choice(marks) for _ in range(rng.randint(1, 12))))
     for text in ("a" * 3000, "ab" * 900, "hello <|endoftext|> world<|startoftext|>x", "'S'T don't we'LL", "", "the of and " * 200, "lololololol" * 30):
         same(library, text)
 

@@ -10,6 +10,7 @@ has one valid encoding, each position is struck off once at most, so the work is
 from __future__ import annotations
 
 import json
+import string
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -28,7 +29,8 @@ _FOREVER = 1 << 30
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _FIELDS = regex.compile(f"[^{_SPACE}]+")
 _ODD = regex.compile("[\\x1c-\\x1f]")
-_KEPT_WORDS, _KEPT_PAIRS = 150_000, 150_000
+#: Words that are kept: of the last so many new ones and of as many before them.
+_KEPT_WORDS, _KEPT_PAIRS = 75_000, 150_000
 #: Characters below this one are letters or not, and have lower case, alike in all editions of Unicode.
 _STABLE = "\u0250"
 
@@ -78,6 +80,7 @@ class Codec:
         self.matcher.make_automaton()
         self.fits: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         names = [b""] * self.size
         for k, v in [*vocab.items(), *self.special.items()]:
             names[v] = k.encode() + b" "
@@ -124,14 +127,15 @@ class Codec:
     def encode_units(self, text: str) -> list[int]:
         """Ids of a word of which each byte is one character."""
         text = text[:-1] + self.last[text[-1]]
+        token = self.ids.get(text)
+        if token is not None:
+            return [token]
         n = len(text)
         longest = [0] * n
         for end, found in self.matcher.iter(text):
             longest[end - found[0]] = found[1]  # matches end later and later, so the longest of a position comes last
         token = longest[0]
         size, shorter, fits = self.sizes, self.shorter, self.fits
-        if size[token] == n:
-            return [token]
         alive = [True] * (n + 1)
         tokens: list[int] = []
         at = 0
@@ -177,23 +181,38 @@ class Codec:
             ids.extend(self.encode_piece(piece))
         return ids.tobytes()
 
+    def _known(self, field: str) -> bytes:
+        """Ids of a text without white space, kept for the next time. What differs in marks at its end, or in the case of ASCII
+        letters, is one word and these marks, which are a piece of their own after a letter."""
+        got = self.words.get(field)
+        if got is not None:
+            return got
+        got = self.before.get(field)
+        if got is None:
+            word = field.rstrip(string.punctuation)
+            if word and word[-1] < _STABLE and word[-1].lower().isalpha():
+                tail = field[len(word) :]
+                if word.isascii():
+                    word = word.lower()
+                got = self._known(word) + (self._known(tail) if tail else b"") if word != field else self._field(field)
+            else:
+                got = self._field(field)
+        if len(field) <= 64:
+            if len(self.words) >= _KEPT_WORDS:
+                self.words, self.before = {}, self.words
+            self.words[field] = got
+        return got
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text; the special tokens' own strings give their ids."""
         out = []
-        words = self.words
         for part in self.cut.split(text) if self.cut and "<|" in text else (text,):
             if part in self.special:
                 out.append(np.int32(self.special[part]).tobytes())
                 continue
             for field in _FIELDS.findall(part) if _ODD.search(part) else part.split():
-                got = words.get(field)
-                if got is None:
-                    got = self._field(field)
-                    if len(field) <= 64:
-                        if len(words) >= _KEPT_WORDS:
-                            words.clear()
-                        words[field] = got
-                out.append(got)
+                got = self.words.get(field)
+                out.append(self._known(field) if got is None else got)
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
