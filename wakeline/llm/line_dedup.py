@@ -31,10 +31,15 @@ def _normal(line: str) -> str:
     return f"trim(if({odd}, regexp_replace({line}, r'\\s+', ' '), {line}))"
 
 
+def _written(line: str) -> str:
+    """SQL for whether there is more than white space in a line; it looks no further than the first other character."""
+    return f"trim(leading ' \\t\\r\\u000C\\u000B' from {line}) <> ''"
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     cut = docs.select("__did", "__rid", F.posexplode(F.split("__text", "\n")).alias("pos", "line"))
-    norm = cut.withColumn("norm", F.expr(_normal("line"))).drop("line").filter("norm <> ''")
-    return norm.withColumn("n", F.expr("length(norm) - length(replace(norm, ' ', '')) + 1"))
+    norm = cut.filter(_written("line")).select("__did", "__rid", "pos", F.expr(_normal("line")).alias("norm"))
+    return norm.withColumn("n", F.expr("octet_length(norm) - octet_length(replace(norm, ' ', '')) + 1"))
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -115,7 +120,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = marked.join(gone, ["__did", "__rid"], "left").withColumn("__gone", F.coalesce("__gone", F.expr("array()").cast("array<int>")))
     out = out.withColumn("__lines", F.split("__text", "\n"))
     kept = F.expr("array_join(transform(array_sort(array_except(sequence(0, size(__lines) - 1), __gone)), i -> __lines[i]), '\n')")
-    count = F.coalesce(F.expr(f"cast(size(filter(__lines, x -> {_normal('x')} <> '')) as long)"), F.lit(0).cast("long"))
+    count = F.coalesce(F.expr(f"cast(size(filter(__lines, x -> {_written('x')})) as long)"), F.lit(0).cast("long"))
     text = F.when(F.size("__gone") > 0, kept).otherwise(F.col("__text"))
     added = {"lines_in": count, "lines_removed": F.size("__gone").cast("long")}
     every = [(added[c.lower()] if c.lower() in added else text if c == text_col else F.col(n)).alias(c) for c, n in zip(docs.columns, names)]
