@@ -410,6 +410,55 @@ def test_templates_against_brute_force(spark):
         assert len(mine) - len(got[i]) == max(best, default=0)
 
 
+def extracted(spark, htmls, host="t"):
+    rows = [(i, f"http://{host}/{i}", x) for i, x in enumerate(htmls)]
+    got = {r.page_id: r.text.split("\n\n") for r in pages.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[i] for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_the_template_decides_on_marked_pages_too(spark, tag):
+    """A marked element that the host's template fills is no article; one with an open slot is, whole."""
+    promo = f"<{tag} class=club><p>Become a member of our club today</p></{tag}>"
+    story = "<div class=story><h1>T{0}</h1><p>The story of page {0}, told at some length</p></div>"
+    assert extracted(spark, [f"<body>{promo}{story.format(i)}</body>" for i in range(5)]) == [[f"T{i}", f"The story of page {i}, told at some length"] for i in range(5)]
+    marked = f"<{tag}><h2>Our story</h2><p>Own text of page {{0}}, told at some length</p></{tag}>"
+    assert extracted(spark, [f"<body>{promo}{marked.format(i)}</body>" for i in range(5)]) == [["Our story", f"Own text of page {i}, told at some length"] for i in range(5)]
+    assert extracted(spark, [f"<body>{promo}</body>"] * 5 + [f"<body>{promo}{promo}</body>"]) == [["Become a member of our club today"]] * 5 + [["Become a member of our club today"] * 2]
+
+
+def test_slots_are_extracted_whole(spark):
+    page = "<body><div class=top>The Daily</div><div class=wrap><div class='post-{0}'><h1>T{0}</h1><p>{1}</p></div><div class='more-{0}'><p>last {0}</p></div></div><div class=end>All rights reserved</div></body>"
+    long = "some long text " * 10
+    want = [[f"T{i}", f"{long}{i}", f"last {i}"] for i in range(5)]
+    assert extracted(spark, [page.format(i, long + str(i)) for i in range(5)]) == want
+    # a class of the body that names the page hides no template
+    assert extracted(spark, [page.replace("<div class=wrap>", "").replace("</div></div><div class=end>", "</div><div class=end>").replace("<body", "<body class='home postid-{0}'").format(i, long + str(i)) for i in range(5)]) == want
+
+
+def test_roles_in_the_gaps_of_the_root_class(spark):
+    """Texts that recur are template in each gap where most pages have them, and nowhere else; a root class out of order is cut."""
+    rng = random.Random(19)
+    htmls, own, swapped = [], [], []
+    for i in range(24):
+        mine = iter([f"own {i} {k}" for k in range(40)])
+        some = lambda n: [x for _ in range(n) for x in (next(mine), "Share this")]
+        parts = ["Top", "Rule", *some(rng.randint(2, 4)), "Middle", "Rule", *some(rng.randint(2, 4)), "Bottom", next(mine), "Rule"]
+        parts += [next(mine)] + ["Share this"] * (i == 7)
+        ends = ["X", next(mine), "Y"]
+        parts += ends[::-1] if i == 11 else ends
+        htmls.append("<body>" + "".join(f"<p>{x}</p>" for x in parts))
+        own.append([x for x in parts if x.startswith("own") or i == 7 and x == "Share this"])
+        swapped.append(i == 11)
+    for i, got in enumerate(extracted(spark, htmls)):
+        if i == 7:
+            assert [x for x in got if x != "Share this"] == [x for x in own[i] if x != "Share this"] and got.count("Share this") == 1
+        elif swapped[i]:
+            assert [x for x in got if x not in "XY"] == own[i] and len(got) == len(own[i]) + 1
+        else:
+            assert got == own[i]
+
+
 def test_memory_of_deep_nesting_is_in_proportion():
     import tracemalloc
 
