@@ -459,6 +459,22 @@ def test_roles_in_the_gaps_of_the_root_class(spark):
             assert got == own[i]
 
 
+def test_a_page_along_the_root_class():
+    import tracemalloc
+
+    assert pages.along([9, 1, 2, 9, 1, 3], [1, 2, 1, 3]) == {1: 0, 2: 1, 4: 2, 5: 3}
+    assert pages.along([1, 3, 2, 4], [1, 2, 3, 4]) in ({0: 0, 1: 2, 3: 3}, {0: 0, 2: 1, 3: 3})
+    assert pages.along([1, 1, 2, 1], [1, 2, 1, 1]) == {0: 0, 2: 1, 3: 2}
+    root = [x for k in range(20_000) for x in (1, 10 + k)]
+    page = [*root[:-4], root[-1], 1, root[-3], 1]  # the last two of those that come once are swapped
+    tracemalloc.start()
+    got = pages.along(page, root)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert all(page[i] == root[k] for i, k in got.items()) and sorted(got.values()) == [got[i] for i in sorted(got)]
+    assert len(got) >= len(root) - 3
+
+
 def test_memory_of_deep_nesting_is_in_proportion():
     import tracemalloc
 

@@ -204,18 +204,30 @@ def sequence(opened: list[Node], blocks: list[Block]) -> list[int]:
 
 
 def along(tokens: list[int], root: list[int]) -> dict[int, int]:
-    """Which tokens of the root class a page has at which places: all, if they come in order, else the most that do."""
+    """Which tokens of the root class a page has at which places: all, if they come in order. Else the longest sequence in order of
+    those that both have once, and so on between any two of them; where there are none, those up to the first that is missing."""
     out, k = {}, 0
     for i, t in enumerate(tokens):
         if k < len(root) and t == root[k]:
             out[i], k = k, k + 1
     if k == len(root):
         return out
-    where: dict[int, list[int]] = {}
-    for k in range(len(root) - 1, -1, -1):
-        where.setdefault(root[k], []).append(k)
-    pairs = [(i, k) for i, t in enumerate(tokens) for k in where.get(t, ())]
-    return dict(pairs[j] for j in sorted(_rising([k for _, k in pairs])))
+    out, todo = {}, [(0, len(tokens), 0, len(root))]
+    while todo:
+        i0, i1, k0, k1 = todo.pop()
+        here, there = Counter(tokens[i0:i1]), Counter(root[k0:k1])
+        once = {root[k]: k for k in range(k0, k1) if there[root[k]] == here[root[k]] == 1}
+        pairs = [(i, once[tokens[i]]) for i in range(i0, i1) if tokens[i] in once]
+        if pairs:
+            pairs = [pairs[j] for j in sorted(_rising([k for _, k in pairs]))]
+            out.update(pairs)
+            ends = [(i0 - 1, k0 - 1), *pairs, (i1, k1)]
+            todo += [(a + 1, b, x + 1, y) for (a, x), (b, y) in zip(ends, ends[1:]) if b - a > 1 and y - x > 1]
+            continue
+        for i in range(i0, i1):
+            if k0 < k1 and tokens[i] == root[k0]:
+                out[i], k0 = k0, k0 + 1
+    return out
 
 
 def _gaps(n: int, matched: dict[int, int]) -> list[int]:
